@@ -1,0 +1,5 @@
+"""Intentionally empty: the workload is a closed batch with a fixed data cutoff.
+
+Nothing in it has event time, watermarks or state that outlives a run, so there
+is no stream to declare.
+"""
