@@ -195,16 +195,20 @@ def _pearson(a: Column, b: Column) -> Column:
 
 
 def correlation(features: DataFrame, names=CORRELATED) -> DataFrame:
-    """Lower triangle of the correlation matrix, one row per pair."""
+    """Lower triangle of the correlation matrix, one row per pair of features.
+
+    A row of features is spread to its pairs, a fixed number, and the moments of
+    each pair combine on the map side.
+    """
     names = present(features, names)
+    label = {c: F.lit(LABELS.get(c, c)) for c in names}
     column = {c: F.col(c).cast("double") for c in names}
-    pairs = [(row, col) for i, row in enumerate(names) for col in names[: i + 1]]
-    wide = features.agg(*[
-        _pearson(column[row], column[col]).alias(f"c{i}") for i, (row, col) in enumerate(pairs)
+    pairs = F.array(*[
+        F.struct(label[row].alias("feature"), label[col].alias("other"),
+                 column[row].alias("a"), column[col].alias("b"))
+        for i, row in enumerate(names) for col in names[: i + 1]
     ])
-    label = lambda c: F.lit(LABELS.get(c, c))
-    cells = F.array(*[
-        F.struct(label(row).alias("feature"), label(col).alias("other"), F.col(f"c{i}").alias("corr"))
-        for i, (row, col) in enumerate(pairs)
-    ])
-    return wide.select(F.explode(cells).alias("cell")).select("cell.*")
+    spread = features.select(F.explode(pairs).alias("pair")).select("pair.*")
+    return spread.groupBy("feature", "other").agg(
+        _pearson(F.col("a"), F.col("b")).alias("corr")
+    )

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from larder.functions import numeric
-from larder.operators.rollup import rollup_all_levels, rollup_level
-from larder.operators.star import Star
-from larder.schemas import KEY_COLUMNS, LAG_DAYS, LAGS, LEVELS
+from larder.operators import rollup
+from larder.operators.star import PRODUCT_GROUP, STORE_GROUP, Star
+from larder.schemas import LAG_DAYS, LAGS, LEVELS
 
 
 def series_features(daily: DataFrame, keys, target: str = "sales_qty") -> DataFrame:
@@ -36,15 +36,19 @@ def series_features(daily: DataFrame, keys, target: str = "sales_qty") -> DataFr
 
 
 def level_features(star: Star, level: str) -> DataFrame:
-    """The feature table of one level. A series with a missing key has no features."""
+    """The feature table of one level. A series with a missing key has no features.
+
+    The windows run over integer stand-ins of the groups; names come after.
+    """
     keys = LEVELS[level]
-    return series_features(rollup_level(star, level).where(numeric.all_present(keys)), keys)
+    cells = series_features(rollup.level_cells(star, keys), (PRODUCT_GROUP, STORE_GROUP))
+    return rollup.with_level_keys(star, cells, keys).where(numeric.all_present(keys))
 
 
 def all_level_features(star: Star) -> DataFrame:
     """The feature tables of the six levels in one long table, with one window pass."""
+    cells = series_features(rollup.all_level_cells(star), tuple(rollup.STAND_INS))
     complete = F.lit(False)
     for level, keys in LEVELS.items():
         complete = complete | ((F.col("level") == level) & numeric.all_present(keys))
-    daily = rollup_all_levels(star).where(complete)
-    return series_features(daily, ("level", *KEY_COLUMNS))
+    return rollup.with_all_keys(star, cells).where(complete)

@@ -1,75 +1,144 @@
-"""Daily roll-ups of the star, one level at a time or all six at once."""
+"""Daily roll-ups of the star, one level at a time or all six at once.
+
+Sales are grouped by date key and by integer stand-ins of the product and store
+groups; names are attached to the far fewer sums. Decimal measures are summed as
+whole numbers of their smallest unit, which is exact in any order. So exchanges
+carry fixed-width numbers only.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from larder.operators.star import Star, with_groups
+from larder.operators.star import PRODUCT_GROUP, STORE_GROUP, Star
+from larder.plans import joins
 from larder.schemas import CALENDAR_COLUMNS, KEY_COLUMNS, LEVELS, MEASURES
 
-_PRODUCT_KEYS = ("maingroup_id", "maingroup_name", "subgroup_id", "subgroup_name")
-_STORE_KEYS = ("province_id", "province_name", "store_id")
+MAIN, SUB = ("maingroup_id", "maingroup_name"), ("subgroup_id", "subgroup_name")
+PROVINCE, STORE = ("province_id", "province_name"), ("store_id",)
+# The stand-in columns of the long form and the keys each stands for.
+STAND_INS = {"main_ref": MAIN, "sub_ref": SUB, "province_ref": PROVINCE, "store_ref": STORE}
+
+
+def _scales(star: Star) -> dict[str, int]:
+    """Digits after the point of each measure; 0 for one that is not decimal."""
+    types = {m: star.sales.schema[m].dataType for m in MEASURES}
+    return {m: t.scale if isinstance(t, T.DecimalType) else 0 for m, t in types.items()}
+
+
+def _units(star: Star) -> list[Column]:
+    """Measures in whole smallest units."""
+    return [
+        (F.col(m) * 10 ** s).cast("long").alias(m) if s else F.col(m)
+        for m, s in _scales(star).items()
+    ]
 
 
 def _sums() -> list[Column]:
     return [F.sum(m).alias(m) for m in MEASURES]
 
 
-def _as_double(df: DataFrame) -> DataFrame:
-    """Sums are exact decimals; they turn to doubles only once they are final."""
-    return df.withColumns({m: F.col(m).cast("double") for m in MEASURES})
+def _as_double(star: Star, df: DataFrame) -> DataFrame:
+    return df.withColumns({
+        m: F.col(m).cast("double") / 10 ** s if s else F.col(m).cast("double")
+        for m, s in _scales(star).items()
+    })
+
 
+def _grouped_sales(star: Star, products: dict, stores: dict) -> DataFrame:
+    """Sales with the stand-ins of the given product and store groupings."""
+    sales = star.sales.select("date_key", "product_key", "store_key", *_units(star))
+    sales = joins.lookup(
+        sales, star.stand_ins("products", products), "product_key", star.is_small("products")
+    )
+    return joins.lookup(
+        sales, star.stand_ins("stores", stores), "store_key", star.is_small("stores")
+    ).drop("product_key", "store_key")
 
-def _cells(star: Star, keys: list[str]) -> DataFrame:
-    """Sums by date key and the given keys, from one pass over the sales.
 
-    The calendar depends on the date alone, so it is not part of the grouping.
-    """
-    joined = with_groups(
-        star,
-        products=[k for k in keys if k in _PRODUCT_KEYS],
-        stores=[k for k in keys if k in _STORE_KEYS],
+# --- one level ------------------------------------------------------------
+
+def level_cells(star: Star, keys) -> DataFrame:
+    """Daily sums by the stand-ins of the product part and the store part of the keys."""
+    groups = {
+        PRODUCT_GROUP: [k for k in keys if k in MAIN + SUB],
+        STORE_GROUP: [k for k in keys if k in PROVINCE + STORE],
+    }
+    sales = _grouped_sales(
+        star, {PRODUCT_GROUP: groups[PRODUCT_GROUP]}, {STORE_GROUP: groups[STORE_GROUP]}
     )
-    return joined.groupBy("date_key", *keys).agg(*_sums())
+    cells = sales.groupBy("date_key", PRODUCT_GROUP, STORE_GROUP).agg(*_sums())
+    dated = star.with_dates(cells, "full_date", *CALENDAR_COLUMNS)
+    return _as_double(star, dated).drop("date_key")
+
+
+def with_level_keys(star: Star, cells: DataFrame, keys) -> DataFrame:
+    """Replace the stand-ins of level cells by the keys themselves."""
+    named = star.with_names(cells, "products", PRODUCT_GROUP, [k for k in keys if k in MAIN + SUB])
+    named = star.with_names(
+        named, "stores", STORE_GROUP, [k for k in keys if k in PROVINCE + STORE]
+    )
+    rest = [c for c in cells.columns if c not in (PRODUCT_GROUP, STORE_GROUP)]
+    front = ["full_date", *CALENDAR_COLUMNS]
+    return named.select(*front, *keys, *[c for c in rest if c not in front])
 
 
 def rollup(star: Star, keys) -> DataFrame:
     """One row per day and group; names that are no key column are ignored."""
     keys = [k for k in keys if k in KEY_COLUMNS]
-    dated = star.with_dates(_cells(star, keys), "full_date", *CALENDAR_COLUMNS)
-    return _as_double(dated).select("full_date", *CALENDAR_COLUMNS, *keys, *MEASURES)
+    return with_level_keys(star, level_cells(star, keys), keys)
 
 
 def rollup_level(star: Star, level: str) -> DataFrame:
     return rollup(star, LEVELS[level])
 
 
-def base_rollup(star: Star) -> DataFrame:
-    """Cells of the finest grain that all six levels can be summed from."""
-    return _cells(star, list(KEY_COLUMNS))
+# --- all levels -----------------------------------------------------------
 
+def base_cells(star: Star) -> DataFrame:
+    """Sums of the finest grain that all six levels can be made from."""
+    sales = _grouped_sales(
+        star, {"main_ref": MAIN, "sub_ref": SUB}, {"province_ref": PROVINCE, "store_ref": STORE}
+    )
+    return sales.groupBy("date_key", *STAND_INS).agg(*_sums())
 
-def rollup_all_levels(star: Star) -> DataFrame:
-    """The six levels in one long table; keys a level does not use are NULL.
+
+def all_level_cells(star: Star) -> DataFrame:
+    """Daily sums of all levels; stand-ins that a level does not use are NULL.
 
     The sales are read and joined once. Sums are distributive, so the levels are
     grouping sets over the base cells and need one more exchange together.
     """
-    sets = [["date_key", *keys] for keys in LEVELS.values()]
-    cells = base_rollup(star).groupingSets(sets, "date_key", *KEY_COLUMNS).agg(
-        *_sums(), _level_of_set().alias("level")
-    )
+    sets = [["date_key", *_stand_ins_of(level)] for level in LEVELS]
+    cells = base_cells(star).groupingSets(sets, "date_key", *STAND_INS).agg(*_sums())
     dated = star.with_dates(cells, "full_date", *CALENDAR_COLUMNS)
-    return _as_double(dated).select(
-        "level", "full_date", *CALENDAR_COLUMNS, *KEY_COLUMNS, *MEASURES
-    )
+    return _as_double(star, dated).drop("date_key")
 
 
-def _level_of_set() -> Column:
-    """The level name, from which key columns the grouping set holds."""
-    name = F.lit(None).cast("string")
-    for level, keys in LEVELS.items():
-        bits = "".join("0" if k in ("date_key", *keys) else "1" for k in ("date_key", *KEY_COLUMNS))
-        name = F.when(F.grouping_id() == int(bits, 2), level).otherwise(name)
-    return name
+def _stand_ins_of(level: str) -> list[str]:
+    return [s for s, keys in STAND_INS.items() if set(keys) <= set(LEVELS[level])]
+
+
+def with_all_keys(star: Star, cells: DataFrame) -> DataFrame:
+    """Add the level name and replace the stand-ins by the key columns."""
+    level = F.lit(None).cast("string")
+    for name in LEVELS:
+        used = _stand_ins_of(name)
+        here = F.lit(True)
+        for s in STAND_INS:
+            here = here & (F.col(s).isNotNull() if s in used else F.col(s).isNull())
+        level = F.when(here, name).otherwise(level)
+    named = cells.withColumn("level", level)
+    for ref, keys in STAND_INS.items():
+        table = "products" if keys in (MAIN, SUB) else "stores"
+        named = star.with_names(named, table, ref, keys, how="left")
+    front = ["level", "full_date", *CALENDAR_COLUMNS, *KEY_COLUMNS]
+    rest = [c for c in cells.columns if c not in STAND_INS and c not in front]
+    return named.select(*front, *rest)
+
+
+def rollup_all_levels(star: Star) -> DataFrame:
+    """The six levels in one long table; keys a level does not use are NULL."""
+    return with_all_keys(star, all_level_cells(star))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,9 @@ from pyspark.sql import functions as F
 from larder.functions import numeric
 from larder.plans import joins
 
+PRODUCT_GROUP, STORE_GROUP = "product_group", "store_group"
+_SURROGATE = {"products": "product_key", "stores": "store_key", "dates": "date_key"}
+
 
 @dataclass
 class Star:
@@ -23,25 +27,49 @@ class Star:
     broadcast_rows: int = joins.BROADCAST_ROWS
     _small: dict[str, bool] = field(default_factory=dict, repr=False)
 
-    def _is_small(self, name: str) -> bool:
+    def is_small(self, name: str) -> bool:
+        """Whether a dimension may be broadcast; counted once, up to the limit."""
         if name not in self._small:
             self._small[name] = joins.fits(getattr(self, name), self.broadcast_rows)
         return self._small[name]
 
+    def _with(self, df: DataFrame, name: str, columns) -> DataFrame:
+        key = _SURROGATE[name]
+        return joins.lookup(df, getattr(self, name).select(key, *columns), key, self.is_small(name))
+
     def with_dates(self, df: DataFrame, *columns: str) -> DataFrame:
-        dim = self.dates.select("date_key", *columns)
-        return joins.lookup(df, dim, "date_key", self._is_small("dates"))
+        return self._with(df, "dates", columns)
 
     def with_products(self, df: DataFrame, *columns: str) -> DataFrame:
-        dim = self.products.select("product_key", *columns)
-        return joins.lookup(df, dim, "product_key", self._is_small("products"))
+        return self._with(df, "products", columns)
 
     def with_stores(self, df: DataFrame, *columns: str) -> DataFrame:
-        dim = self.stores.select("store_key", *columns)
-        return joins.lookup(df, dim, "store_key", self._is_small("stores"))
-
-    def products_are_small(self) -> bool:
-        return self._is_small("products")
+        return self._with(df, "stores", columns)
+
+    def groups(self, name: str, columns, ref: str) -> DataFrame:
+        """Distinct values of some dimension columns and a stand-in: their least key."""
+        return getattr(self, name).groupBy(*columns).agg(F.min(_SURROGATE[name]).alias(ref))
+
+    def stand_ins(self, name: str, refs: dict[str, tuple[str, ...]]) -> DataFrame:
+        """Per dimension key the stand-in of each grouping; 0 for an empty one."""
+        df = getattr(self, name)
+        for ref, columns in refs.items():
+            if not columns:
+                df = df.withColumn(ref, F.lit(0))
+                continue
+            groups = self.groups(name, columns, ref)
+            renamed = groups.select(ref, *[F.col(c).alias(f"_{c}") for c in columns])
+            same = reduce(
+                lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns]
+            )
+            df = df.join(renamed, same)
+        return df.select(_SURROGATE[name], *refs)
+
+    def with_names(self, df: DataFrame, name: str, ref: str, columns, how: str = "inner"):
+        """Attach the columns that a stand-in stands for."""
+        if not columns:
+            return df
+        return joins.lookup(df, self.groups(name, columns, ref), ref, self.is_small(name), how)
 
     def cutoff(self) -> dt.date | None:
         """The last day with a sale."""
