@@ -129,7 +129,7 @@ def negative_inventory(star: Star) -> DataFrame:
     """Share of rows with negative inventory per main group, smallest first."""
     flag = F.col("is_negative_inventory").cast("int")
     sales = star.sales.select("product_key", flag.alias("neg"), F.lit(1).alias("one"))
-    if not star.products_are_small():
+    if not star.is_small("products"):
         sales = sales.groupBy("product_key").agg(F.sum("neg").alias("neg"), F.sum("one").alias("one"))
     pct = F.try_divide(F.col("neg_count").cast("double"), F.col("total_count")) * 100
     return (
@@ -149,7 +149,7 @@ def daily_trend(star: Star, start: dt.date, end: dt.date) -> DataFrame:
     sales = star.sales.where(F.col("date_key").between(first, last))
     sales = sales.select("date_key", "product_key", "sales_qty")
     total = F.sum("sales_qty").alias("sales_qty")
-    if not star.products_are_small():
+    if not star.is_small("products"):
         sales = sales.groupBy("date_key", "product_key").agg(total)
     daily = star.with_products(sales, "maingroup_name").groupBy("date_key", "maingroup_name")
     return star.with_dates(daily.agg(total), "full_date", "is_weekend").select(

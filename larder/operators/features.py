@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -9,30 +12,39 @@ from pyspark.sql.window import Window
 from larder.functions import numeric
 from larder.operators import rollup
 from larder.operators.star import PRODUCT_GROUP, STORE_GROUP, Star
-from larder.schemas import LAG_DAYS, LAGS, LEVELS
+from larder.schemas import LAGS, LEVELS
 
 
 def series_features(daily: DataFrame, keys, target: str = "sales_qty") -> DataFrame:
     """Append lags 1 to 7, rolling mean, deviation and variation, and the log target.
 
-    Lags count rows, not days: a day without a sale is skipped over. The rolling
-    frame is the seven rows before the current one. All windows share one
-    specification, so there is one exchange and one sort, and a series has at
+    Lags count rows, not days: a day without a sale is skipped over. All of them
+    share one window, so there is one exchange and one sort, and a series has at
     most one row a day however many sales are behind it. Rows whose seventh lag
-    is missing are dropped.
+    is missing are dropped, so for the rows that remain the seven lags are the
+    rolling frame itself, and its statistics are plain arithmetic on them.
     """
     w = Window.partitionBy(*keys).orderBy("full_date")
-    before = w.rowsBetween(-LAG_DAYS, -1)
-    y = F.col(target)
-    windowed = daily.withColumns({
-        **{name: F.lag(y, i).over(w) for i, name in enumerate(LAGS, start=1)},
-        "rolling_mean_7": F.avg(y).over(before),
-        "rolling_std_7": F.coalesce(F.stddev_samp(y).over(before), F.lit(0.0)),
-    })
-    return windowed.where(F.col(LAGS[-1]).isNotNull()).withColumns({
-        "cv_7": numeric.variation(F.col("rolling_std_7"), F.col("rolling_mean_7")),
-        "log_sales_qty": numeric.log1p(y),
+    lagged = daily.withColumns({
+        name: F.lag(target, i).over(w) for i, name in enumerate(LAGS, start=1)
     })
+    return rolling_statistics(lagged.where(F.col(LAGS[-1]).isNotNull())).withColumn(
+        "log_sales_qty", numeric.log1p(F.col(target))
+    )
+
+
+def rolling_statistics(lagged: DataFrame) -> DataFrame:
+    """Mean, sample deviation (0 for a single value) and variation of the present lags."""
+    values = [F.col(name) for name in LAGS]
+    n = reduce(add, [v.isNotNull().cast("int") for v in values])
+    total = reduce(add, [F.coalesce(v, F.lit(0.0)) for v in values])
+    averaged = lagged.withColumn("rolling_mean_7", F.try_divide(total, n))
+    mean = F.col("rolling_mean_7")
+    squares = reduce(add, [F.coalesce((v - mean) * (v - mean), F.lit(0.0)) for v in values])
+    spread = F.when(n > 1, F.sqrt(squares / (n - 1))).otherwise(F.lit(0.0))
+    return averaged.withColumn("rolling_std_7", spread).withColumn(
+        "cv_7", numeric.variation(F.col("rolling_std_7"), mean)
+    )
 
 
 def level_features(star: Star, level: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """The test tables seen as a star schema.
 
 The mapping is arbitrary but fixed and carries no business meaning. Measures are
-computed in decimals, so that they are exact.
+computed in whole hundredths, so that they are exact.
 """
 
 from __future__ import annotations
@@ -20,19 +20,21 @@ CALENDAR_END = dt.date(2099, 12, 31)
 
 def sales(spark: SparkSession, folder: str) -> DataFrame:
     items = spark.read.parquet(f"{folder}/lineitem.parquet")
-    qty = F.col("l_quantity").cast("decimal(12,2)")
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    rate = lambda name: F.col(name).cast("decimal(4,2)")
-    one = F.lit(1).cast("decimal(4,2)")
-    inventory = F.round(price * F.lit("0.001").cast("decimal(4,3)") - 5, 2).cast("decimal(18,2)")
+    # The source holds doubles of two digits; as whole hundredths they are exact.
+    cents = lambda name: F.rint(F.col(name) * 100).cast("long")
+    money = lambda c: (c / F.lit(100.0)).cast("decimal(18,2)")
+    half_up = lambda c, unit: F.floor((c + unit // 2) / F.lit(float(unit)))
+    qty, price = cents("l_quantity"), cents("l_extendedprice")
+    stock = price - 500_000  # price / 1000 - 5, in steps of 0.00001
+    inventory = F.signum(stock) * half_up(F.abs(stock), 1000)
     return items.select(
         date_key(F.to_date("l_shipdate")).alias("date_key"),
         F.col("l_partkey").alias("product_key"),
         F.col("l_suppkey").alias("store_key"),
-        qty.cast("decimal(18,2)").alias("sales_qty"),
-        F.round(price * (one - rate("l_discount")), 2).cast("decimal(18,2)").alias("sales_revenue"),
-        F.round(qty * (one + rate("l_tax")), 2).cast("decimal(18,2)").alias("import_qty"),
-        inventory.alias("opening_inventory"),
+        money(qty).alias("sales_qty"),
+        money(half_up(price * (100 - cents("l_discount")), 100)).alias("sales_revenue"),
+        money(half_up(qty * (100 + cents("l_tax")), 100)).alias("import_qty"),
+        money(inventory).alias("opening_inventory"),
         (inventory < 0).alias("is_negative_inventory"),
     )
 

@@ -1,0 +1,176 @@
+from __future__ import annotations
+
+import json
+
+import numpy as np
+import pytest
+from conftest import PRODUCTS, STORES, day, rows
+from pyspark.sql import functions as F
+
+from larder import schemas
+from larder.models.regressors import train_linear
+from larder.operators import features, rollup, serving
+from larder.operators.serving import Request
+from larder.plans import forecasting
+from larder.schemas import LEVELS
+from larder.sources import store, tables
+
+LEVEL = "5_subgroup_province"
+KEYS = LEVELS[LEVEL]
+
+
+@pytest.fixture(scope="module")
+def model(month_star):
+    return train_linear(features.level_features(month_star, LEVEL), KEYS).model
+
+
+@pytest.fixture(scope="module")
+def daily(month_star):
+    return rollup.rollup_level(month_star, LEVEL).where("province_name is not null and subgroup_name is not null").persist()
+
+
+def weights_of(model):
+    """The linear model as one vector on raw inputs."""
+    _, scaler, line = model.stages
+    w = line.coefficients.toArray() / scaler.std.toArray()
+    return model.stages[0].getInputCols(), w, line.intercept - float(w @ scaler.mean.toArray())
+
+
+def by_hand(model, series, dates):
+    """Roll a series forward one date at a time."""
+    names, w, base = weights_of(model)
+    path = list(series)
+    for d in dates:
+        last = path[-7:]
+        std = float(np.std(last)) if len(path) >= 7 else 0.0
+        row = {f"lag_{i}": path[-i] if len(path) >= i else 0.0 for i in range(1, 8)}
+        row |= {
+            "rolling_mean_7": float(np.mean(last)), "rolling_std_7": std,
+            "cv_7": std / (float(np.mean(last)) + 1e-6), "day_of_week": d.weekday(),
+            "is_weekend": int(d.weekday() >= 5), "week_of_month": (d.day - 1) // 7 + 1,
+        }
+        path.append(float(np.expm1(w @ np.array([row[n] for n in names]) + base)))
+    return path[-1]
+
+
+def series_of(daily):
+    found = {}
+    for r in daily.orderBy("full_date").collect():
+        found.setdefault((r.subgroup_id, r.province_id), []).append(r.sales_qty)
+    return found
+
+
+@pytest.mark.parametrize("days", [1, 3, 11])
+def test_recursive_forecast_equals_a_loop(model, daily, days):
+    got = forecasting.recursive_forecast(model, daily, KEYS, day(31), days).collect()
+    dates = [day(31 + n) for n in range(1, days + 1)]
+    want = series_of(daily)
+    assert {(r.subgroup_id, r.province_id) for r in got} == set(want)
+    for r in got:
+        series = want[r.subgroup_id, r.province_id]
+        assert r.forecast == pytest.approx(by_hand(model, series, dates), rel=1e-6)
+        assert len(r.h) == 7
+
+
+def test_one_step_equals_the_one_day_forecast(model, daily):
+    rolled = forecasting.recursive_forecast(model, daily, KEYS, day(31), 1)
+    direct = forecasting.one_day_forecast(model, daily, KEYS, day(32))
+    assert rows(rolled, *KEYS, "forecast", "cv_7") == rows(direct, *KEYS, "forecast", "cv_7")
+
+
+def test_short_series_keep_their_length(model, daily):
+    few = daily.where(F.col("full_date") > day(29).isoformat())
+    got = forecasting.recursive_forecast(model, few, KEYS, day(31), 3)
+    want = series_of(few)
+    for r in got.collect():
+        series = want[r.subgroup_id, r.province_id]
+        assert len(r.h) == len(series) + 3
+        assert r.forecast == pytest.approx(by_hand(model, series, [day(32), day(33), day(34)]), rel=1e-6)
+
+
+def test_record_of_a_request(month_star, model):
+    request = Request(day(33), maingroup_id=1)
+    record = forecasting.forecast_record(month_star, model, LEVEL, request, day(31))
+    (r,) = record.collect()
+    assert (r.is_rolling, r.rollout_days, r.error_growth_pct) == (True, 2, 4)
+    assert [h.date for h in r.history] == [day(n) for n in range(25, 32)]
+    assert [d.subgroup_id for d in r.details] == [10, 11]
+    assert r.import_suggestion >= 0 and r.predicted_qty > 0
+    parsed = json.loads(forecasting.as_json(record).first().record)
+    assert parsed["model_used"] == LEVEL and len(parsed["details"]) == 2
+    past = forecasting.forecast_record(month_star, model, LEVEL, Request(day(20)), day(31)).first()
+    assert not past.is_rolling and past.history[-1].date == day(19)
+
+
+def test_request_without_sales_raises(month_star, model):
+    with pytest.raises(ValueError):
+        forecasting.forecast_record(month_star, model, LEVEL, Request(day(20), store_id="none"), day(31))
+
+
+def test_orders_of_all_series(month_star, model, daily):
+    lines = forecasting.forecast_series(model, daily, KEYS, day(32), day(31)).collect()
+    assert all(r.import_suggestion >= 0 for r in lines)
+    assert all(r.import_suggestion == 0 for r in lines if r.opening_inventory > 3.01 * r.predicted_qty)
+
+
+def test_model_without_a_feature_column_gets_zero(model, daily):
+    state = serving.series_state(daily, KEYS).drop("h").withColumn("h", F.array(F.lit(2.0)))
+    assert forecasting.predict_quantity(model, state, F.lit(day(32))).where("forecast is null").isEmpty()
+
+
+# --- sources --------------------------------------------------------------
+
+DATES_CSV = """﻿date_key,full_date,day_of_week,day_name,week_of_month,is_weekend,is_month_start,is_month_end
+20260301,2026-03-01,6,Chủ nhật,1,True,True,False
+20260302,2026-03-02,0,Thứ 2,1,False,False,False
+"""
+PRODUCTS_CSV = """﻿product_key,product_id,product_name,subgroup_id,subgroup_name,maingroup_id,maingroup_name
+7,1232844000999,CẢI BÓ XÔI 300GR,2844,Rau ăn lá,1234,Rau Củ
+"""
+
+
+def test_sample_files_are_read_with_their_types(spark, tmp_path):
+    (tmp_path / "d.csv").write_text(DATES_CSV, encoding="utf-8")
+    (tmp_path / "p.csv").write_text(PRODUCTS_CSV, encoding="utf-8")
+    dates = tables.read_dates(spark, str(tmp_path / "d.csv"))
+    assert rows(dates)[0] == (20260301, day(1), 6, "Chủ nhật", 1, True, True, False)
+    assert rows(tables.read_products(spark, str(tmp_path / "p.csv"))) == [
+        (7, 1232844000999, "CẢI BÓ XÔI 300GR", 2844, "Rau ăn lá", 1234, "Rau Củ")
+    ]
+
+
+def test_star_from_files_and_catalog(spark, month_star, tmp_path):
+    for name in ("sales", "dates", "products", "stores"):
+        getattr(month_star, name).write.parquet(str(tmp_path / name))
+        getattr(month_star, name).createOrReplaceTempView(f"v_{name}")
+    read = tables.star_from_parquet(spark, str(tmp_path))
+    named = tables.star_from_catalog(spark, "v_sales", "v_dates", "v_products", "v_stores")
+    want = rows(rollup.rollup_level(month_star, "1_category_national"))
+    assert rows(rollup.rollup_level(read, "1_category_national")) == want
+    assert rows(rollup.rollup_level(named, "1_category_national")) == want
+    assert (len(PRODUCTS), len(STORES)) == (read.products.count(), read.stores.count())
+
+
+def test_stored_features_are_read_by_level(spark, month_star, tmp_path):
+    path = str(tmp_path / "features")
+    table = features.all_level_features(month_star)
+    store.write_features(table.where("level <> '2_category_province'"), path)
+    assert store.read_features(spark, path, "2_category_province") is None
+    first = store.read_features(spark, path, "1_category_national")
+    assert first.count() == table.where("level = '1_category_national'").count()
+    assert "PartitionFilters: [isnotnull(level" in first._jdf.queryExecution().toString()
+
+    store.write_features(table.where("level = '1_category_national'").limit(2), path)
+    assert store.read_features(spark, path, "1_category_national").count() == 2
+    assert store.read_features(spark, path, "6_subgroup_store").count() > 2
+
+
+def test_text_dates_are_parsed(spark):
+    df = spark.createDataFrame([("2026-03-04 10:00:00",)], "full_date string")
+    assert tables.parse_dates(df, "full_date", "absent").first().full_date == day(4)
+
+
+def test_schemas_name_every_measure_and_key():
+    assert set(schemas.MEASURES) <= set(schemas.SALES_SCHEMA.names)
+    dims = set(schemas.PRODUCT_SCHEMA.names) | set(schemas.STORE_SCHEMA.names)
+    assert set(schemas.KEY_COLUMNS) <= dims

@@ -1,0 +1,96 @@
+from __future__ import annotations
+
+import pytest
+from conftest import day
+from pyspark.sql import functions as F
+
+from larder.functions.ranking import dense_codes
+from larder.operators import encoding, explore
+from larder.plans import joins
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """A third of the rows on one key, some keys without a dimension row, some NULL."""
+    n = F.col("id")
+    facts = spark.range(30_000).select(
+        F.when(n % 3 == 0, 7).when(n % 101 == 0, None).otherwise(n % 4_000).alias("k"), n.alias("v")
+    )
+    dim = spark.range(3_500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("name"))
+    return facts, dim
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_split_join_equals_plain_join(skewed, how):
+    facts, dim = skewed
+    plain = facts.join(dim, "k", how)
+    for small in (True, False):
+        got = joins.lookup(facts, dim, "k", small, how)
+        assert got.count() == plain.count()
+        assert got.exceptAll(plain).isEmpty()
+
+
+def test_hot_keys_are_found_and_few(skewed):
+    hot = joins.hot_keys(skewed[0], "k", fraction=0.2)
+    found = {r.k for r in hot.collect()}
+    assert 7 in found and len(found) <= joins.HOT_KEYS
+
+
+def test_no_hot_keys_in_an_empty_frame(spark):
+    assert joins.hot_keys(spark.range(0), "id") is None
+
+
+def test_fits_counts_up_to_the_limit(spark):
+    assert joins.fits(spark.range(10), 10) and not joins.fits(spark.range(11), 10)
+
+
+def test_small_and_ranged_codes_agree(spark):
+    names = spark.range(500).select(F.sha2(F.col("id").cast("string"), 256).alias("name"))
+    small, n = dense_codes(names, "name", "code")
+    ranged, m = dense_codes(names, "name", "code", one_task_rows=0, ranges=7)
+    assert n == m == 500
+    want = {name: i for i, name in enumerate(sorted(r.name for r in names.collect()))}
+    assert {r.name: r.code for r in small.collect()} == want
+    assert {r.name: r.code for r in ranged.collect()} == want
+
+
+def test_ranged_codes_order_structs(spark):
+    tuples = spark.createDataFrame(
+        [(i % 3, f"n{i % 7}", day(i % 28 + 1)) for i in range(60)], "a int, b string, d date"
+    ).distinct().select(F.struct("a", "b", "d").alias("t"))
+    coded, n = dense_codes(tuples, "t", "code", one_task_rows=0, ranges=5)
+    got = [tuple(r.t) for r in coded.orderBy("code").collect()]
+    assert got == sorted(got) and len(got) == n
+    assert [r.code for r in coded.orderBy("code").collect()] == list(range(n))
+
+
+def test_first_seen_codes_follow_the_sorted_rows(spark):
+    series = spark.createDataFrame(
+        [(1, "b", "y"), (1, "b", "z"), (2, "a", "x"), (2, "a", "y")], "g int, n string, store_id string"
+    )
+    coded, _ = encoding.first_seen_codes(series, ["g", "n", "store_id"], "store_id")
+    assert {r.store_id: r.store_id_enc for r in coded.collect()} == {"y": 0, "z": 1, "x": 2}
+    labels, _ = encoding.label_codes(series, "store_id")
+    assert {r.store_id: r.store_id_enc for r in labels.collect()} == {"x": 0, "y": 1, "z": 2}
+
+
+def test_label_replaces_first_seen_code_and_missing_is_minus_one(spark):
+    table = spark.createDataFrame(
+        [(2, "b"), (2, "a"), (1, "c"), (1, None)], "maingroup_id int, store_id string"
+    )
+    keys = ["maingroup_id", "store_id"]
+    coded = encoding.encoded(table, keys)
+    assert {(r.maingroup_id, r.store_id): (r.maingroup_id_enc, r.store_id_enc) for r in coded.collect()} == {
+        (1, None): (0, -1), (1, "c"): (0, 2), (2, "a"): (1, 0), (2, "b"): (1, 1),
+    }
+    assert encoding.code_columns(keys, table) == ["store_id_enc", "maingroup_id_enc"]
+
+
+def test_sample_has_the_asked_for_size_and_no_repeats(spark):
+    df = spark.range(50_000)
+    sample = explore.random_sample(df, 1_000, seed=3)
+    ids = [r.id for r in sample.collect()]
+    assert len(ids) == len(set(ids)) == 1_000
+    assert 20_000 < sum(ids) / 1_000 < 30_000
+    assert ids == [r.id for r in explore.random_sample(df, 1_000, seed=3).collect()]
+    assert explore.random_sample(df, 50_000).count() == 50_000
