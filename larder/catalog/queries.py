@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from larder.functions import calendar
 from larder.models.arima import arima_forecast
-from larder.models.naive import naive_forecast
+from larder.models.naive import naive_forecast, with_last_known
 from larder.models.regressors import (
     feature_columns, feature_importance, feature_vector, train_gbt, train_linear,
 )
@@ -213,16 +213,17 @@ def _naive(s: Star) -> DataFrame:
 
 def _baselines(s: Star) -> DataFrame:
     """Two forecasts with a closed form, on every level at once."""
-    keys = ("level", *rollup.KEY_COLUMNS)
-    table = features.all_level_features(s)
-    naive = naive_forecast(table, keys).select(
-        "level", F.lit("naive").alias("model"), "actual", "predicted"
+    rows = with_last_known(features.all_level_features(s), ("level", *rollup.KEY_COLUMNS))
+    forecast = lambda model, value, kept: F.struct(
+        F.lit(model).alias("model"), value.alias("predicted"), kept.alias("kept")
     )
-    uplift = split.with_split(table).where("split = 'test'").select(
-        "level", F.lit("uplift").alias("model"), F.col("sales_qty").alias("actual"),
-        replenish.uplifted(F.col("lag_1")).alias("predicted"),
+    both = F.array(
+        forecast("naive", F.col("last_qty"), F.col("is_eligible")),
+        forecast("uplift", replenish.uplifted(F.col("lag_1")), F.lit(True)),
     )
-    return training.stack([naive, uplift])
+    return rows.select("level", F.col("sales_qty").alias("actual"), F.explode(both).alias("f")).where(
+        "f.kept"
+    ).select("level", "f.model", "actual", "f.predicted")
 
 
 query("metrics")(lambda s: metrics.evaluate(_baselines(s)))

@@ -133,7 +133,7 @@ def negative_inventory(star: Star) -> DataFrame:
         sales = sales.groupBy("product_key").agg(F.sum("neg").alias("neg"), F.sum("one").alias("one"))
     pct = F.try_divide(F.col("neg_count").cast("double"), F.col("total_count")) * 100
     return (
-        star.with_products(sales, "maingroup_name").groupBy("maingroup_name")
+        star.with_products(sales, "maingroup_name", aggregated=True).groupBy("maingroup_name")
         .agg(F.sum("neg").alias("neg_count"), F.sum("one").alias("total_count"))
         .withColumn("pct_neg", pct)
         .orderBy("pct_neg", "maingroup_name")
@@ -151,8 +151,9 @@ def daily_trend(star: Star, start: dt.date, end: dt.date) -> DataFrame:
     total = F.sum("sales_qty").alias("sales_qty")
     if not star.is_small("products"):
         sales = sales.groupBy("date_key", "product_key").agg(total)
-    daily = star.with_products(sales, "maingroup_name").groupBy("date_key", "maingroup_name")
-    return star.with_dates(daily.agg(total), "full_date", "is_weekend").select(
+    named = star.with_products(sales, "maingroup_name", aggregated=True)
+    daily = named.groupBy("date_key", "maingroup_name").agg(total)
+    return star.with_dates(daily, "full_date", "is_weekend").select(
         "full_date", "is_weekend", "maingroup_name", F.col("sales_qty").cast("double")
     )
 

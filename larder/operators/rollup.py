@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder.operators.star import PRODUCT_GROUP, STORE_GROUP, Star
-from larder.plans import joins
 from larder.schemas import CALENDAR_COLUMNS, KEY_COLUMNS, LEVELS, MEASURES
 
 MAIN, SUB = ("maingroup_id", "maingroup_name"), ("subgroup_id", "subgroup_name")
@@ -48,14 +47,18 @@ def _as_double(star: Star, df: DataFrame) -> DataFrame:
 
 
 def _grouped_sales(star: Star, products: dict, stores: dict) -> DataFrame:
-    """Sales with the stand-ins of the given product and store groupings."""
+    """Sales with the stand-ins of the given product and store groupings.
+
+    If a dimension is too large to broadcast, sales have to move, so they are
+    summed to one row per date, product and store before.
+    """
     sales = star.sales.select("date_key", "product_key", "store_key", *_units(star))
-    sales = joins.lookup(
-        sales, star.stand_ins("products", products), "product_key", star.is_small("products")
+    if not (star.is_small("products") and star.is_small("stores")):
+        sales = sales.groupBy("date_key", "product_key", "store_key").agg(*_sums())
+    sales = star.join(sales, "products", star.stand_ins("products", products))
+    return star.join(sales, "stores", star.stand_ins("stores", stores)).drop(
+        "product_key", "store_key"
     )
-    return joins.lookup(
-        sales, star.stand_ins("stores", stores), "store_key", star.is_small("stores")
-    ).drop("product_key", "store_key")
 
 
 # --- one level ------------------------------------------------------------

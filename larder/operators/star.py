@@ -26,6 +26,7 @@ class Star:
     stores: DataFrame
     broadcast_rows: int = joins.BROADCAST_ROWS
     _small: dict[str, bool] = field(default_factory=dict, repr=False)
+    _hot: dict[str, DataFrame | None] = field(default_factory=dict, repr=False)
 
     def is_small(self, name: str) -> bool:
         """Whether a dimension may be broadcast; counted once, up to the limit."""
@@ -33,18 +34,35 @@ class Star:
             self._small[name] = joins.fits(getattr(self, name), self.broadcast_rows)
         return self._small[name]
 
-    def _with(self, df: DataFrame, name: str, columns) -> DataFrame:
-        key = _SURROGATE[name]
-        return joins.lookup(df, getattr(self, name).select(key, *columns), key, self.is_small(name))
+    def hot(self, name: str) -> DataFrame | None:
+        """Keys of a large dimension that hold a large share of the sales."""
+        if self.is_small(name):
+            return None
+        if name not in self._hot:
+            self._hot[name] = joins.hot_keys(self.sales, _SURROGATE[name])
+        return self._hot[name]
+
+    def join(self, df: DataFrame, name: str, dim: DataFrame, aggregated: bool = False) -> DataFrame:
+        """Join rows with something that has one row per key of a dimension.
+
+        Sums by that key and others hold few rows a key, so hot keys matter for
+        single sales only.
+        """
+        hot = None if aggregated else self.hot(name)
+        return joins.lookup(df, dim, _SURROGATE[name], self.is_small(name), hot=hot)
+
+    def _with(self, df: DataFrame, name: str, columns, aggregated: bool) -> DataFrame:
+        dim = getattr(self, name).select(_SURROGATE[name], *columns)
+        return self.join(df, name, dim, aggregated)
 
     def with_dates(self, df: DataFrame, *columns: str) -> DataFrame:
-        return self._with(df, "dates", columns)
+        return self._with(df, "dates", columns, aggregated=True)
 
-    def with_products(self, df: DataFrame, *columns: str) -> DataFrame:
-        return self._with(df, "products", columns)
+    def with_products(self, df: DataFrame, *columns: str, aggregated: bool = False) -> DataFrame:
+        return self._with(df, "products", columns, aggregated)
 
-    def with_stores(self, df: DataFrame, *columns: str) -> DataFrame:
-        return self._with(df, "stores", columns)
+    def with_stores(self, df: DataFrame, *columns: str, aggregated: bool = False) -> DataFrame:
+        return self._with(df, "stores", columns, aggregated)
 
     def groups(self, name: str, columns, ref: str) -> DataFrame:
         """Distinct values of some dimension columns and a stand-in: their least key."""
@@ -66,10 +84,16 @@ class Star:
         return df.select(_SURROGATE[name], *refs)
 
     def with_names(self, df: DataFrame, name: str, ref: str, columns, how: str = "inner"):
-        """Attach the columns that a stand-in stands for."""
+        """Attach the columns that a stand-in stands for.
+
+        Groups are often few even where the dimension is large, so they are
+        counted themselves.
+        """
         if not columns:
             return df
-        return joins.lookup(df, self.groups(name, columns, ref), ref, self.is_small(name), how)
+        groups = self.groups(name, columns, ref)
+        small = self.is_small(name) or joins.fits(groups, self.broadcast_rows)
+        return joins.lookup(df, groups, ref, small, how)
 
     def cutoff(self) -> dt.date | None:
         """The last day with a sale."""

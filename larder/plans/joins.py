@@ -1,4 +1,4 @@
-"""Lookup joins: broadcast behind a size check, hot keys split off beyond it."""
+"""Lookup joins: broadcast behind a size check, salted shuffle join beyond it."""
 
 from __future__ import annotations
 
@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 # A dimension of this many narrow rows is some 100 MB in executor memory.
 BROADCAST_ROWS = 1_000_000
 
-# Keys with at least 1/HOT_KEYS of the rows are split off; there are at most HOT_KEYS.
+# Keys with at least 1/HOT_KEYS of the rows are spread; there are at most HOT_KEYS.
 HOT_KEYS = 2_000
 HOT_SAMPLE = 0.01
+SALTS = 1024
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
@@ -19,27 +20,30 @@ def fits(df: DataFrame, max_rows: int) -> bool:
 
 
 def lookup(
-    facts: DataFrame, dim: DataFrame, key: str, small: bool | None = None, how: str = "inner"
+    facts: DataFrame, dim: DataFrame, key: str, small: bool,
+    how: str = "inner", hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join facts with a dimension that has one row per key ("inner" or "left").
 
-    A dimension known or found to be small is broadcast, so the facts do not
-    move. A larger one is joined by shuffle, after the rows of hot keys are
-    taken out: their dimension rows are few by construction and are broadcast.
+    A small dimension is broadcast, so the facts do not move. A larger one is
+    joined by shuffle. There the rows of each hot key are spread over many
+    buckets by a hash of their other columns, and the few dimension rows of hot
+    keys are repeated for every bucket.
     """
-    if small is None:
-        small = fits(dim, BROADCAST_ROWS)
     if small:
         return facts.join(F.broadcast(dim), key, how)
-    hot = hot_keys(facts, key)
     if hot is None:
         return facts.join(dim, key, how)
-    hot_dim = dim.join(F.broadcast(hot), key, "left_semi")
-    hot_rows = facts.join(F.broadcast(hot), key, "left_semi")
-    cold_rows = facts.join(F.broadcast(hot), key, "left_anti")
-    return hot_rows.join(F.broadcast(hot_dim), key, how).unionByName(
-        cold_rows.join(dim, key, how)
-    )
+    marked = F.broadcast(hot.select(key).distinct().withColumn("_hot", F.lit(True)))
+    spread = F.pmod(F.xxhash64(*[c for c in facts.columns if c != key]), F.lit(SALTS)).cast("int")
+    every = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    salted = facts.join(marked, key, "left").withColumn(
+        "_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0))
+    ).drop("_hot")
+    repeated = dim.join(marked, key, "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))
+    ).drop("_hot")
+    return salted.join(repeated, [key, "_salt"], how).drop("_salt")
 
 
 def hot_keys(facts: DataFrame, key: str, fraction: float = HOT_SAMPLE) -> DataFrame | None:

@@ -22,7 +22,8 @@ def sales(spark: SparkSession, folder: str) -> DataFrame:
     items = spark.read.parquet(f"{folder}/lineitem.parquet")
     # The source holds doubles of two digits; as whole hundredths they are exact.
     cents = lambda name: F.rint(F.col(name) * 100).cast("long")
-    money = lambda c: (c / F.lit(100.0)).cast("decimal(18,2)")
+    hundredth = F.lit("0.01").cast("decimal(2,2)")
+    money = lambda c: c.cast("decimal(15,0)") * hundredth
     half_up = lambda c, unit: F.floor((c + unit // 2) / F.lit(float(unit)))
     qty, price = cents("l_quantity"), cents("l_extendedprice")
     stock = price - 500_000  # price / 1000 - 5, in steps of 0.00001

@@ -24,12 +24,23 @@ def skewed(spark):
 def test_split_join_equals_plain_join(skewed, how):
     facts, dim = skewed
     plain = facts.join(dim, "k", how)
-    for small in (True, False):
-        got = joins.lookup(facts, dim, "k", small, how)
+    hot = joins.hot_keys(facts, "k", fraction=0.2)
+    for options in ({"small": True}, {"small": False}, {"small": False, "hot": hot}):
+        got = joins.lookup(facts, dim, "k", how=how, **options).select(*plain.columns)
         assert got.count() == plain.count()
         assert got.exceptAll(plain).isEmpty()
 
 
+def test_rows_of_a_hot_key_are_spread(skewed):
+    facts, dim = skewed
+    hot = joins.hot_keys(facts, "k", fraction=0.2)
+    joined = joins.lookup(facts, dim, "k", False, hot=hot)
+    sizes = [r["count"] for r in joined.where("k = 7").groupBy(
+        F.pmod(F.xxhash64("v"), F.lit(joins.SALTS))).count().collect()]
+    assert sum(sizes) == facts.where("k = 7").count()
+    assert max(sizes) < sum(sizes) / 50
+
+
 def test_hot_keys_are_found_and_few(skewed):
     hot = joins.hot_keys(skewed[0], "k", fraction=0.2)
     found = {r.k for r in hot.collect()}
