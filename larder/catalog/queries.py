@@ -22,6 +22,7 @@ from larder.operators.serving import Request
 from larder.operators.star import Star
 from larder.plans import forecasting, training
 from larder.schemas import FEATURES, LEVELS, MEASURES
+from larder.session import checkpointed
 from larder.sources import store
 from larder.sources.driver_tables import star_of
 
@@ -345,8 +346,10 @@ def _arima(s: Star) -> DataFrame:
 
 @query()
 def predictions(s: Star) -> DataFrame:
+    table = checkpointed(features.all_level_features(s))
     return training.all_predictions(
-        lambda level: features.level_features(s, level), families=("linear", "arima", "naive")
+        lambda level: table.where(F.col("level") == level),
+        families=("linear", "arima", "naive"),
     )
 
 

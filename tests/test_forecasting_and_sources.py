@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from larder import schemas
 from larder.models.regressors import train_linear
-from larder.operators import features, rollup, serving
+from larder.operators import explore, features, rollup, serving
 from larder.operators.serving import Request
 from larder.plans import forecasting
 from larder.schemas import LEVELS
@@ -151,14 +151,44 @@ def test_star_from_files_and_catalog(spark, month_star, tmp_path):
     assert (len(PRODUCTS), len(STORES)) == (read.products.count(), read.stores.count())
 
 
-def test_stored_features_are_read_by_level(spark, month_star, tmp_path):
+def plan_of(df, capsys):
+    capsys.readouterr()
+    df.explain()
+    return capsys.readouterr().out
+
+
+def test_date_bounds_reach_the_scan(spark, month_star, tmp_path, capsys):
+    for name in ("sales", "dates", "products", "stores"):
+        getattr(month_star, name).write.parquet(str(tmp_path / name))
+    star = tables.star_from_parquet(spark, str(tmp_path))
+    served = plan_of(serving.serving_rollup(star, Request(day(20)), day(31)), capsys)
+    assert "LessThan(date_key,20260320)" in served
+    assert "sales_revenue" not in served  # a column the request does not need is not read
+    trend = plan_of(explore.daily_trend(star, day(3), day(9)), capsys)
+    assert "GreaterThanOrEqual(date_key,20260303)" in trend
+    assert "LessThanOrEqual(date_key,20260309)" in trend and "store_key" not in trend
+
+
+def test_features_need_one_exchange_for_sums_and_one_for_windows(spark, month_star, tmp_path, capsys):
+    for name in ("sales", "dates", "products", "stores"):
+        getattr(month_star, name).write.parquet(str(tmp_path / name))
+    star = tables.star_from_parquet(spark, str(tmp_path))
+    plan = plan_of(features.level_features(star, LEVEL), capsys)
+    of_sales = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "_group" in line
+                and "min" not in line]
+    assert len([x for x in of_sales if "date_key" in x]) == 1
+    assert len([x for x in of_sales if "product_group" in x and "store_group" in x]) == 2
+    assert "SortMergeJoin" not in plan
+
+
+def test_stored_features_are_read_by_level(spark, month_star, tmp_path, capsys):
     path = str(tmp_path / "features")
     table = features.all_level_features(month_star)
     store.write_features(table.where("level <> '2_category_province'"), path)
     assert store.read_features(spark, path, "2_category_province") is None
     first = store.read_features(spark, path, "1_category_national")
     assert first.count() == table.where("level = '1_category_national'").count()
-    assert "PartitionFilters: [isnotnull(level" in first._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(level" in plan_of(first, capsys)
 
     store.write_features(table.where("level = '1_category_national'").limit(2), path)
     assert store.read_features(spark, path, "1_category_national").count() == 2
