@@ -1,0 +1,55 @@
+from __future__ import annotations
+
+from conftest import day, rows
+from pyspark.sql import functions as F
+
+from larder.models.naive import naive_forecast
+from larder.operators import features
+from larder.plans import evaluation, exploration, feature_store, training
+from larder.schemas import LEVELS
+from larder.sources import store
+
+
+def test_feature_store_holds_features_and_codes(spark, month_star, tmp_path):
+    path = feature_store.build_feature_store(month_star, str(tmp_path / "f"))
+    for level in ("3_category_store", "4_subgroup_national"):
+        table = store.read_features(spark, path, level)
+        direct = features.level_features(month_star, level)
+        assert table.count() == direct.count()
+        assert rows(table, *LEVELS[level], "full_date", "lag_7") == rows(
+            direct, *LEVELS[level], "full_date", "lag_7")
+    stores = store.read_features(spark, path, "3_category_store")
+    assert rows(stores.select("store_id", "store_id_enc").distinct()) == [
+        ("A", 0), ("B", 1), ("C", 2), ("D", 3)
+    ]
+    assert stores.where("province_id_enc is not null").isEmpty()
+    assert not stores.where("maingroup_id_enc is null").count()
+
+
+def test_evaluation_of_stored_predictions(spark, month_star, tmp_path):
+    level = "6_subgroup_store"
+    table = features.level_features(month_star, level)
+    naive = training.long_predictions(naive_forecast(table, LEVELS[level]), level, "naive")
+    worse = naive.withColumns({"model": F.lit("worse"), "predicted": F.col("predicted") * 9 + 50})
+    store.write_predictions(training.stack([naive, worse]), str(tmp_path / "p"))
+    best = evaluation.evaluate_stored(spark, str(tmp_path / "p"), str(tmp_path / "m"))
+    assert best == "naive"
+    assert spark.read.csv(str(tmp_path / "m"), header=True).count() == 2
+
+
+def test_report(month_star):
+    level_one = features.level_features(month_star, "1_category_national")
+    parts = exploration.report(month_star, level_one, day(1), day(31))
+    assert parts["distribution"]["histogram"].count() == 120
+    assert parts["daily_trend"].columns == ["full_date", "fruit", "greens"]
+    assert parts["correlation"].count() == 78
+    assert exploration.distribution(month_star, sample=50)["summary"].where("n_rows = 50").count() == 2
+
+
+def test_report_without_sales(make_star):
+    empty = make_star([])
+    parts = exploration.report(empty, None, day(1), day(31))
+    assert parts["daily_trend"] is None and parts["correlation"] is None
+    assert parts["negative_inventory"].isEmpty()
+    assert parts["distribution"]["density"].isEmpty()
+    assert empty.cutoff() is None
