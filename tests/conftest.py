@@ -23,6 +23,7 @@ DATA = Path("/root/testdata")
 def spark():
     session = local_session()
     session.sparkContext.setLogLevel("ERROR")
+    session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
     session.stop()
 
