@@ -21,7 +21,7 @@ from larder.operators import (
 from larder.operators.serving import Request
 from larder.operators.star import Star
 from larder.plans import forecasting, training
-from larder.schemas import FEATURES, LEVELS, MEASURES
+from larder.schemas import FEATURES, LAGS, LEVELS, MEASURES
 from larder.session import checkpointed
 from larder.sources import store
 from larder.sources.driver_tables import star_of
@@ -39,24 +39,28 @@ SMALL_GBT_GRID = (
 )
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Decimals to doubles, doubles to a number of digits."""
+# Sums of decimals and their lags are the nearest doubles already.
+EXACT = (*MEASURES, *LAGS)
+
+
+def rounded(df: DataFrame, exact=(), digits: int = 6) -> DataFrame:
+    """Decimals to doubles, doubles to a number of digits unless they are exact."""
     out = []
     for f in df.schema:
         c = F.col(f.name)
         if isinstance(f.dataType, T.DecimalType):
             c = c.cast("double").alias(f.name)
-        elif isinstance(f.dataType, T.DoubleType):
+        elif isinstance(f.dataType, T.DoubleType) and f.name not in exact:
             c = F.round(c, digits).alias(f.name)
         out.append(c)
     return df.select(*out)
 
 
-def query(name: str | None = None):
+def query(name: str | None = None, exact=()):
     """Register a function of a star as a query, rounding its doubles."""
     def register(build: Callable[[Star], DataFrame]):
         key = name or build.__name__
-        QUERIES[key] = lambda spark, folder: rounded(build(star_of(spark, folder)))
+        QUERIES[key] = lambda spark, folder: rounded(build(star_of(spark, folder)), exact)
         return build
     return register
 
@@ -73,19 +77,19 @@ def star_join(s: Star) -> DataFrame:
     return star.full_star(s)
 
 
-@query()
+@query(exact=EXACT)
 def rollup_all_levels(s: Star) -> DataFrame:
     return rollup.rollup_all_levels(s)
 
 
-@query()
+@query(exact=EXACT)
 def features_all_levels(s: Star) -> DataFrame:
     return features.all_level_features(s)
 
 
 for _i, _level in enumerate(LEVELS, start=1):
-    query(f"rollup_level{_i}")(lambda s, level=_level: rollup.rollup_level(s, level))
-    query(f"features_level{_i}")(lambda s, level=_level: features.level_features(s, level))
+    query(f"rollup_level{_i}", EXACT)(lambda s, level=_level: rollup.rollup_level(s, level))
+    query(f"features_level{_i}", EXACT)(lambda s, level=_level: features.level_features(s, level))
 
 
 def _codes(s: Star, coder, columns_of) -> DataFrame:
