@@ -252,13 +252,24 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     )
 
 
-def redact(docs: DataFrame, text_column: str = "text", fdr: float = FDR) -> DataFrame:
-    """The same rows with every secret in the text replaced by a mark of its kind."""
+def redact(
+    docs: DataFrame, text_column: str = "text", length_column: str | None = None, fdr: float = FDR,
+) -> DataFrame:
+    """The same rows with every secret in the text replaced by a mark of its kind.
+
+    Where a text changes, its characters are counted anew in the length column, if one is named.
+    """
     marked, text, flag = _flagged(docs, text_column)
     limits = cutoffs(marked.where(flag["token"]).select(tokens(text, F.lit(True)).alias("tokens")), "tokens", fdr)
     base = base_spans(text, flag)
     every = sp.in_order(base | {"random": random_spans(tokens(text, flag["token"]), limits, base)})
     clean = sp.replaced(text, every, lambda kind: F.concat(F.lit("<secret:"), kind, F.lit(">")))
     touched = flag["token"] | flag["assign"] | flag["access"]
-    return marked.withColumn(
-        text_column, F.when(touched, clean).otherwise(F.col(text_column))).select(*docs.columns)
+    [new] = fresh(marked, "clean")
+    marked = marked.withColumn(new, F.when(touched, clean).otherwise(F.col(text_column)))
+    columns = {text_column: F.col(new)}
+    if length_column is not None:
+        kind = docs.schema[length_column].dataType
+        columns[length_column] = F.when(touched & F.col(text_column).isNotNull(), F.length(new).cast(kind)).otherwise(
+            F.col(length_column))
+    return marked.select(*[columns.get(c, F.col(c)).alias(c) for c in docs.columns])
