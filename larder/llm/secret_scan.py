@@ -94,77 +94,98 @@ def _pick(encoding: Column, of) -> Column:
     return value
 
 
-def battery(token: Column) -> Column:
-    """Encoding, length and misfit (its natural logarithm) of one token."""
-    bare = F.regexp_replace(token, "=+$", "")
+def _with(t: Column, names: list[str], **new: Column) -> Column:
+    """A struct with some fields of another one and new fields."""
+    return F.struct(*[t[n].alias(n) for n in names], *[c.alias(n) for n, c in new.items()])
+
+
+KEPT = ["start", "end", "plain"]
+PLAIN_WORD = r"^([A-Za-z]?[a-z]+|[A-Z]+)$"
+
+
+def _encoded(t: Column) -> Column:
+    """The token without padding, its encoding, and its symbols written as the alphabet does."""
+    bare = F.regexp_replace(t["token"], "=+$", "")
     encoding = (
         F.when(bare.rlike("^[0-9]+$"), "dec").when(bare.rlike("^([0-9a-f]+|[0-9A-F]+)$"), "hex")
         .when(bare.rlike("^[A-Z2-7]+$"), "base32").otherwise("base64")
     )
-    string = F.when(encoding == "hex", F.lower(bare)).otherwise(F.translate(bare, "-_", "+/"))
-    alphabet = _pick(encoding, lambda a: F.lit(a))
-    size = _pick(encoding, lambda a: F.lit(float(len(a))))
-    n = F.length(string).cast("double")
-    chars = F.filter(F.split(string, ""), lambda c: c != "")
-
-    squares = F.aggregate(F.array_distinct(chars), F.lit(0.0), lambda total, c: total + F.pow(
-        n - F.length(F.replace(string, c, F.lit(""))), F.lit(2.0)))
-    chi = size / n * squares - n
-    chi_z = (chi - (size - 1)) / F.sqrt(2 * (size - 1) * (n - 1) / n)
-
-    halves = _pick(encoding, lambda a: F.translate(
-        string, a, "L" * (len(a) // 2) + "H" * (len(a) - len(a) // 2)))
-    low = F.length(F.replace(halves, F.lit("H"), F.lit(""))).cast("double")
-    both = 2 * low * (n - low)
-    changes = (
-        2 * n - F.length(F.replace(halves, F.lit("LH"), F.lit(""))) - F.length(F.replace(halves, F.lit("HL"), F.lit("")))
-    ) / 2
-    spread = both * (both - n) / (n * n * (n - 1))
-    runs_z = F.when(spread > 0, (changes + 1 - both / n - 1) / F.sqrt(spread)).otherwise(F.sqrt(n))
+    return F.struct(t["start"].alias("start"), t["end"].alias("end"), t["token"].rlike(PLAIN_WORD).alias("plain"),
+                    encoding.alias("encoding"), bare.alias("bare"))
+
+
+def _spelled(t: Column) -> Column:
+    string = F.when(t["encoding"] == "hex", F.lower(t["bare"])).otherwise(F.translate(t["bare"], "-_", "+/"))
+    return _with(t, [*KEPT, "encoding"], string=string)
+
+
+def _symbols(t: Column) -> Column:
+    """Symbols of the token, its length, and the half of the alphabet that each lies in."""
+    halves = _pick(t["encoding"], lambda a: F.translate(
+        t["string"], a, "L" * (len(a) // 2) + "H" * (len(a) - len(a) // 2)))
+    return _with(
+        t, [*KEPT, "string"], halves=halves, n=F.length(t["string"]).cast("double"),
+        chars=F.filter(F.split(t["string"], ""), lambda c: c != ""),
+        alphabet=_pick(t["encoding"], lambda a: F.lit(a)), size=_pick(t["encoding"], lambda a: F.lit(float(len(a)))),
+    )
+
 
-    codes = F.transform(chars, lambda c: F.instr(alphabet, c).cast("double"))
+def _sums(t: Column) -> Column:
+    """What the tests need from one walk over the token."""
+    n = t["n"]
+    squares = F.aggregate(F.array_distinct(t["chars"]), F.lit(0.0), lambda total, c: total + F.pow(
+        n - F.length(F.replace(t["string"], c, F.lit(""))), F.lit(2.0)))
+    codes = F.transform(t["chars"], lambda c: F.instr(t["alphabet"], c).cast("double"))
     sums = F.aggregate(
         codes,
         F.struct(F.lit(0.0).alias("x"), F.lit(0.0).alias("xx"), F.lit(0.0).alias("xy"), F.lit(0.0).alias("last")),
         lambda s, x: F.struct(
-            (s["x"] + x).alias("x"), (s["xx"] + x * x).alias("xx"),
-            (s["xy"] + s["last"] * x).alias("xy"), x.alias("last"),
+            (s["x"] + x).alias("x"), (s["xx"] + x * x).alias("xx"), (s["xy"] + s["last"] * x).alias("xy"),
+            x.alias("last"),
         ),
     )
-    return F.struct(encoding.alias("encoding"), n.alias("n"), chi_z.alias("chi_z"), runs_z.alias("runs_z"),
-                    sums.alias("sums"), F.element_at(codes, 1).alias("first"))
+    low = F.length(F.replace(t["halves"], F.lit("H"), F.lit(""))).cast("double")
+    changes = (2 * n - F.length(F.replace(t["halves"], F.lit("LH"), F.lit("")))
+               - F.length(F.replace(t["halves"], F.lit("HL"), F.lit("")))) / 2
+    return _with(t, [*KEPT, "n", "size"], squares=squares, sums=sums, low=low, changes=changes,
+                 first=F.instr(t["alphabet"], t["chars"][0]).cast("double"))
+
 
+def _tested(t: Column) -> Column:
+    """Length class and misfit: the logarithm of the squared z values of the three tests."""
+    n, size, s = t["n"], t["size"], t["sums"]
+    chi_z = (size / n * t["squares"] - n - (size - 1)) / F.sqrt(2 * (size - 1) * (n - 1) / n)
+
+    both = 2 * t["low"] * (n - t["low"])
+    spread = both * (both - n) / (n * n * (n - 1))
+    runs_z = F.when(spread > 0, (t["changes"] - both / n) / F.sqrt(spread)).otherwise(F.sqrt(n))
 
-def _misfit(b: Column) -> Column:
-    s, n = b["sums"], b["n"]
     mean = s["x"] / n
     variance = s["xx"] - n * mean * mean
     # Sum of (x_i - mean)(x_i+1 - mean) from the sums over the whole token.
-    lagged = s["xy"] - mean * (2 * s["x"] - b["first"] - s["last"]) + (n - 1) * mean * mean
+    lagged = s["xy"] - mean * (2 * s["x"] - t["first"] - s["last"]) + (n - 1) * mean * mean
     serial_z = F.when(variance > 1e-9, (lagged / variance + 1 / n) * F.sqrt(n)).otherwise(F.sqrt(n))
-    total = b["chi_z"] * b["chi_z"] + b["runs_z"] * b["runs_z"] + serial_z * serial_z
-    return F.greatest(F.lit(LOWEST), F.least(F.lit(HIGHEST), F.log(total + F.lit(1e-5))))
 
+    total = chi_z * chi_z + runs_z * runs_z + serial_z * serial_z
+    misfit = F.greatest(F.lit(LOWEST), F.least(F.lit(HIGHEST), F.log(total + F.lit(1e-5))))
+    length_class = F.least(F.lit(LENGTH_CLASSES - 1), F.greatest(
+        F.lit(0), F.floor(2 * F.log2(n / SHORTEST)).cast("int")))
+    return _with(t, KEPT, length_class=length_class, misfit=misfit)
 
-def tokens(text: Column, flag: Column) -> Column:
-    """Long tokens of a text: span, length class, misfit, and whether it is a plain word."""
-    plain = r"^([A-Za-z]?[a-z]+|[A-Z]+)$"
-
-    def scored(s: Column) -> Column:
-        token = F.substring(text, s["start"] + 1, s["end"] - s["start"])
-        return F.struct(s["start"].alias("start"), s["end"].alias("end"), token.rlike(plain).alias("plain"),
-                        battery(token).alias("b"))
 
-    def classed(t: Column) -> Column:
-        length_class = F.least(F.lit(LENGTH_CLASSES - 1), F.greatest(
-            F.lit(0), F.floor(2 * F.log2(t["b"]["n"] / SHORTEST)).cast("int")))
-        return F.struct(t["start"].alias("start"), t["end"].alias("end"), t["plain"].alias("plain"),
-                        length_class.alias("length_class"), _misfit(t["b"]).alias("misfit"))
+def tokens(text: Column, flag: Column) -> Column:
+    """Long tokens of a text: span, whether it is a plain word, length class, misfit.
 
-    found = sp.match_spans(text, TOKEN)
+    The steps are separate, as a function over an array evaluates whatever it
+    names once per element: each step only names fields of the one before.
+    """
+    found = F.transform(sp.match_spans(text, TOKEN), lambda s: F.struct(
+        s["start"].alias("start"), s["end"].alias("end"),
+        F.substring(text, s["start"] + 1, s["end"] - s["start"]).alias("token")))
+    for step in (_encoded, _spelled, _symbols, _sums, _tested):
+        found = F.transform(found, step)
     kind = "array<struct<start:int,end:int,plain:boolean,length_class:int,misfit:double>>"
-    return F.when(flag, F.transform(F.transform(found, scored), classed)).otherwise(
-        F.array().cast(kind))
+    return F.when(flag, found).otherwise(F.array().cast(kind))
 
 
 def cutoffs(found: DataFrame, tokens_column: str, fdr: float = FDR) -> list[float | None]:
@@ -262,8 +283,13 @@ def redact(
     marked, text, flag = _flagged(docs, text_column)
     limits = cutoffs(marked.where(flag["token"]).select(tokens(text, F.lit(True)).alias("tokens")), "tokens", fdr)
     base = base_spans(text, flag)
-    every = sp.in_order(base | {"random": random_spans(tokens(text, flag["token"]), limits, base)})
-    clean = sp.replaced(text, every, lambda kind: F.concat(F.lit("<secret:"), kind, F.lit(">")))
+    names = dict(zip([*base, "tokens"], fresh(marked, *base, "tokens")))
+    marked = marked.withColumns({names[k]: c for k, c in (base | {"tokens": tokens(text, flag["token"])}).items()})
+    base = {k: F.col(names[k]) for k in base}
+    every = sp.in_order(base | {"random": random_spans(F.col(names["tokens"]), limits, base)})
+    [spans] = fresh(marked, "spans")
+    marked = marked.withColumn(spans, every)
+    clean = sp.replaced(text, F.col(spans), lambda kind: F.concat(F.lit("<secret:"), kind, F.lit(">")))
     touched = flag["token"] | flag["assign"] | flag["access"]
     [new] = fresh(marked, "clean")
     marked = marked.withColumn(new, F.when(touched, clean).otherwise(F.col(text_column)))
