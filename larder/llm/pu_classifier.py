@@ -208,20 +208,20 @@ def _sample(rows: DataFrame, n: int) -> np.ndarray:
     return np.array([r.x for r in found], np.float64).reshape(len(found), len(FEATURES))
 
 
-def _half() -> Column:
-    """Whether a row is in the half that the first classifier is fitted on."""
-    return F.pmod(F.xxhash64("id", F.lit(SEED + 1)), F.lit(2)) == 0
+def _half(which: int) -> Column:
+    """Whether a row is in one of two halves, by a hash of the id."""
+    return F.pmod(F.xxhash64("id", F.lit(SEED + 1)), F.lit(2)) == which
 
 
 def prior_of(every: np.ndarray, positive: np.ndarray) -> float:
     """The least ratio of tails, all rows over positives, from counts by score.
 
-    Tails of few positives are noisy: those with under a tenth are left out. The least
-    of noisy ratios lies rather too low than too high, which is the safe side: with
-    too high a prior the risk meets its bound before the negatives are learned.
+    Tails of few positives are noisy: those with under half of them are left out. The
+    least of noisy ratios lies rather too low than too high, which is the safe side:
+    with too high a prior the risk meets its bound before the negatives are learned.
     """
     above, share = every[::-1].cumsum()[::-1] / every.sum(), positive[::-1].cumsum()[::-1] / positive.sum()
-    solid = share >= 0.1
+    solid = share >= 0.5
     return float(np.clip((above[solid] / share[solid]).min(), 0.05, 0.98))
 
 
@@ -239,8 +239,8 @@ def train(
 ) -> tuple[Model | None, float | None]:
     """Model and class prior from features (columns id, x) and a table of labels.
 
-    The first classifier is fitted on one half of the rows by a hash of the id, and
-    the prior read off its scores of all rows of the other half.
+    For the prior, a first classifier is fitted on each half of the rows, by a hash of
+    the id, and read off its scores of all rows of the other half; the mean counts.
     """
     agreed = labels.where(~held_out(id_column)).groupBy(F.col(id_column).alias("id")).agg(
         F.min(label_column).alias("low"), F.max(label_column).alias("high"))
@@ -249,13 +249,15 @@ def train(
     if not len(p):
         return None, None
     u = _sample(found, unlabelled)
-    first_p, first_u = _sample(trusted.where(_half()), positives), _sample(found.where(_half()), unlabelled)
-    prior = 0.5
-    if len(first_p) and len(first_u):
-        first = fit(first_p, first_u, None)
-        every, positive = _tally(found.where(~_half()), first), _tally(trusted.where(~_half()), first)
-        if every.sum() and positive.sum():
-            prior = prior_of(every, positive)
+    priors = []
+    for half in (0, 1):
+        first_p, first_u = _sample(trusted.where(_half(half)), positives), _sample(found.where(_half(half)), unlabelled)
+        if len(first_p) and len(first_u):
+            first = fit(first_p, first_u, None)
+            every, positive = _tally(found.where(_half(1 - half)), first), _tally(trusted.where(_half(1 - half)), first)
+            if every.sum() and positive.sum():
+                priors.append(prior_of(every, positive))
+    prior = sum(priors) / len(priors) if priors else 0.5
     return fit(p, u, prior), prior
 
 
