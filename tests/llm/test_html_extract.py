@@ -1,0 +1,69 @@
+from __future__ import annotations
+
+import re
+from html import unescape
+
+from larder.llm.html_extract import extract, main_text
+
+LONG = "This is a sentence of the article, with commas, stops and enough words to be content."
+
+
+def test_menus_adverts_forms_and_comments_are_left_out():
+    page = f"""<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head><body class="has-sidebar">
+    <header><h1>Site</h1></header><nav><ul><li><a href="/a">Home</a></li></ul></nav>
+    <div class="cookie-notice">We use cookies, please agree.</div><div id="ad-1">Buy now.</div>
+    <div class="main"><h2>Heading</h2><p>{LONG}</p><p>{LONG} <a href="x">A link</a>, and more.</p>
+    <ul><li>First point of the list, as text.</li><li>Second point of the list, as text.</li></ul>
+    <form><p>Your name, please: <input></p></form></div>
+    <aside><p>{LONG}</p></aside><section class="comments"><p>{LONG}</p></section>
+    <script>var x = "<p>no</p>";</script><footer>&copy; us, 2024.</footer></body></html>"""
+    assert main_text(page).split("\n\n") == [
+        "Heading", LONG, f"{LONG} A link, and more.", "First point of the list, as text.", "Second point of the list, as text."]
+
+
+def test_an_article_keeps_its_short_blocks():
+    page = f"<body><article><header><h1>Hi</h1></header><p>{LONG}</p><p>No.</p><ul><li>a</li></ul></article><p>x</p></body>"
+    assert main_text(page) == f"Hi\n\n{LONG}\n\nNo.\n\na"
+
+
+def test_broken_markup_references_and_white_space():
+    page = "<article><h1>A &amp B</h1><p><b>One.<br><p>Two\n\t words &lt;b&gt; &#233;&#x1F600;<p>Three<!-- gone --> here<b"
+    assert main_text(page) == "A & B\n\nOne.\n\nTwo words <b> é😀\n\nThree here"
+    assert main_text('<article><p title="a > b">Kept</p><p>a < b</p></article>') == "Kept\n\na < b"
+    assert main_text("<p>" * 3000 + "deep") == "deep"
+    assert main_text("<div>" * 2000 + "deep." + "</div>" * 2000) == "deep."
+
+
+def test_nothing_to_extract():
+    assert [main_text(h) for h in (None, "", " ", "<nav>menu</nav>", "<script>x", "<!--", "plain words")] == [
+        "", "", "", "", "", "", "plain words"]
+
+
+def test_page_links_without_text_score_less_than_prose():
+    links = "".join(f"<div class='l'><a href='/{i}'>Some linked headline number {i}</a></div>" for i in range(30))
+    page = f"<body><div class='w'>{links}</div><div class='c'><p>{LONG}</p><p>{LONG}</p></div></body>"
+    assert main_text(page) == f"{LONG}\n\n{LONG}"
+
+
+def plain(html):
+    """The article of a test page by its known markup."""
+    article = re.search(r"<article>(.*?)(?:</article>|<footer>|\Z)", html, re.S)[1]
+    parts = re.sub(r"</?(?:p|h1)>", "\0", article)
+    parts = re.sub(r"<[^>]*$", "", re.sub(r"</?b>", "", parts).replace("<br>", " "))
+    return "\n\n".join(x for x in (" ".join(unescape(b).split()) for b in parts.split("\0")) if x)
+
+
+def test_all_test_pages_give_their_article(spark, folder):
+    pages = spark.read.parquet(f"{folder.replace('0.001', '0.01')}/pages.parquet")
+    got = {r.page_id: r for r in extract(pages).collect()}
+    for p in pages.collect():
+        assert got[p.page_id].text == plain(p.html)
+        assert got[p.page_id].n_chars == len(got[p.page_id].text)
+
+
+def test_empty_table_nulls_repeats_and_clashes(spark):
+    kind = "page_id long, url string, html string, text string"
+    assert extract(spark.createDataFrame([], kind)).collect() == []
+    rows = [(None, None, None, "x"), (1, "u", "<p>a</p>", "x"), (1, "u", "<p>a</p>", "x")]
+    got = sorted(map(tuple, extract(spark.createDataFrame(rows, kind)).collect()), key=str)
+    assert got == [(1, "u", "a", 1), (1, "u", "a", 1), (None, None, "", 0)]

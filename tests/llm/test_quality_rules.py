@@ -1,0 +1,94 @@
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+from larder.llm import quality_rules as rules
+
+
+def plain(text):
+    text = text or ""
+    words = re.findall("[^\x20\x09-\x0D]+", text)
+    windows = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    often = {w for w in windows if windows.count(w) > 1}
+    covered = {i + j for i, w in enumerate(windows) if w in often for j in range(3)}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if re.search("[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    return [len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, len(covered)]
+
+
+def some_texts():
+    rng = random.Random(9)
+    bits = ["a", "b", "cé", "#", "|", " ", "  ", "\n", "\t", "a b c ", "\x85", "\xa0", "😀", "x\ny", "\r", "\x0b"]
+    return [None, "", " \n "] + ["".join(rng.choices(bits, k=rng.randint(0, 120))) for _ in range(300)]
+
+
+def test_counts_equal_brute_force():
+    for text in some_texts():
+        assert rules.counts_of(text)[:5] == plain(text), text
+
+
+def test_long_text_of_many_words():
+    words = [f"w{i}" for i in range(200_000)]
+    assert rules.counts_of(" ".join(words + words[:1000]))[4] == 2000
+
+
+def test_forest_depths_equal_a_walk_and_outliers_score_high():
+    rng = np.random.default_rng(1)
+    rows = rng.normal(size=(400, 3))
+    rows[0] = (9, 9, 9)
+    forest = rules.Forest(rows, trees=20, leaves=64)
+
+    def depth(tree, row):
+        column, bound, left, deep = tree
+        at = 0
+        while column[at] >= 0:
+            at = left[at] + int(row[column[at]] > bound[at])
+        return deep[at]
+
+    typical = float(rules._typical(64))
+    want = [2 ** -(np.mean([depth(t, r) for t in forest.trees]) / typical) for r in rows]
+    got = forest.scores(rows)
+    assert np.allclose(got, want)
+    assert got.argmax() == 0
+    assert len(rules.Forest(np.zeros((1, 3))).scores(rows)) == 400
+
+
+def test_query_over_a_mixed_corpus(spark):
+    rng = random.Random(4)
+    words = [f"word{i:03d}" for i in range(500)]
+    good = [" ".join(rng.choices(words, k=120)) + "." for _ in range(300)]
+    junk = [" ".join(w + "###" for w in rng.choices(words, k=120)) for _ in range(20)]
+    texts = good + junk + [None, "", "too few words", " ".join(["same three words"] * 60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame(
+        [(i, int(i < 300), 0) for i in range(0, 320, 2)] + [(1, 0, 0), (1, 1, 0), (None, None, None)],
+        "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in rules.judge(docs, labels).collect()}
+    assert len(got) == len(texts)
+    for i, text in enumerate(texts):
+        r, want = got[i], plain(text)
+        assert [r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words] == want
+        assert r.base_failed == (want[0] < 50 or 100 * want[4] > 50 * want[0])
+        assert not (r.base_failed and r.kept)
+    assert sum(got[i].kept for i in range(300)) >= 297
+    assert not any(got[i].kept for i in range(300, 320))
+
+
+def test_without_labels_only_the_fixed_rules_reject(spark):
+    docs = spark.createDataFrame(
+        [(1, "w " * 40), (2, " ".join(map(str, range(99)))), (2, " ".join(map(str, range(99)))), (None, None)],
+        "doc_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    got = sorted(((r.doc_id, r.kept) for r in rules.judge(docs, labels).collect()), key=str)
+    assert got == [(1, False), (2, True), (2, True), (None, False)]
+
+
+def test_empty_table_and_clashing_names(spark):
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    docs = spark.createDataFrame([], "doc_id long, text string, c int, id int, score int")
+    assert rules.judge(docs, labels).collect() == []
