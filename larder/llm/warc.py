@@ -46,6 +46,7 @@ ANCHORS = ("response", "revisit", "resource")
 LINE = "\r\n"
 DATE = "2024-01-01T00:00:00Z"
 FILE_BYTES = 16_000_000
+FIELD_BYTES = 400
 
 
 # --- writing --------------------------------------------------------------
@@ -129,11 +130,16 @@ def records_of(
     return rows.select(F.explode(three).alias("value"))
 
 
-def write(records: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> None:
-    """Write records (column value) as compressed archives of about file_bytes before compression."""
-    size = records.agg(F.avg(F.octet_length("value"))).first()[0] or 1.0
+def write(records: DataFrame, folder: str, mean_bytes: float, file_bytes: int = FILE_BYTES) -> None:
+    """Write records (column value) of some mean size as compressed archives of about file_bytes before compression."""
     records.write.option("lineSep", LINE + LINE).option("compression", "gzip").option(
-        "maxRecordsPerFile", max(1, int(file_bytes / size))).text(folder)
+        "maxRecordsPerFile", max(1, int(file_bytes / max(1.0, mean_bytes)))).text(folder)
+
+
+def mean_record_bytes(pages: DataFrame, html_column: str = "html") -> float:
+    """The mean size of the three records of a page, their fields included."""
+    mean = pages.agg(F.avg(F.octet_length(text_of(html_column)))).first()[0]
+    return (mean or 0.0) / 3 + FIELD_BYTES
 
 
 # --- reading --------------------------------------------------------------
@@ -265,7 +271,7 @@ def round_trip(
     """
     spark = pages.sparkSession
     folder = folder or f"{shared_folder(spark)}.warc"
-    write(records_of(pages, id_column, url_column, html_column), folder)
+    write(records_of(pages, id_column, url_column, html_column), folder, mean_record_bytes(pages, html_column))
     records = stored(read_records(spark, folder, with_payload=False).drop("payload").withColumn(
         "payload", F.lit(None).cast("binary")))
     page = F.regexp_extract(F.get("metadata", F.lit(0))["block"], r"\Apage: (-?[0-9]+)", 1)

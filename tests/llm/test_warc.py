@@ -1,0 +1,98 @@
+from __future__ import annotations
+
+import base64
+import gzip
+import hashlib
+
+import pytest
+from larder.llm import warc
+
+
+def digest(html):
+    return base64.b32encode(hashlib.sha1((html or "").encode()).digest()).decode()
+
+
+def plain(pages):
+    """What each page's capture is, by the definition."""
+    groups = {}
+    for page, url, html in pages:
+        groups.setdefault(html or "", []).append((page is not None, page or 0, url is not None, url or ""))
+    out = []
+    for page, url, html in pages:
+        best = max(groups[html or ""])
+        first = best[1] if best[0] else None
+        own = (page is not None, page or 0, url is not None, url or "") == best
+        out.append((page, len((html or "").encode()), digest(html), "response" if own else "revisit", None if own else first))
+    return sorted(out, key=str)
+
+
+TRICKY = "WARC/1.1\r\nContent-Length: 5\r\n\r\n\r\n\r\nWARC/1.1\r\n\r\n"
+PAGES = [
+    (1, "http://a.example/x?y#z", "<p>one</p>"), (2, "http://a.example/", "<p>one</p>"), (3, "https://b.example", "é😀\r\n\r\n"),
+    (4, None, None), (5, "http://c.example/\r\nX: y", ""), (6, "not a url", TRICKY), (7, "u", TRICKY), (8, "v", "x" * 300_000),
+    (9, "w", "\n"), (9, "w", "\n"), (10, "w", "\n"), (12, "same", "twice"), (12, "same", "twice"), (None, "n", "alone"),
+    (None, "n", "<p>one</p>"), (11, " padded : url ", "\r\n"),
+]
+KIND = "page_id long, url string, html string, record_type string, copies int"
+
+
+def table(spark, pages=PAGES):
+    return spark.createDataFrame([(*p, "c", 1) for p in pages], KIND)
+
+
+def test_round_trip_equals_the_definition(spark):
+    got = warc.round_trip(table(spark)).collect()
+    assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got), key=str) == plain(PAGES)
+
+
+def test_payloads_come_back_and_files_are_bounded(spark, tmp_path):
+    folder = str(tmp_path / "archives")
+    pages = table(spark)
+    warc.write(warc.records_of(pages), folder, warc.mean_record_bytes(pages), file_bytes=50_000)
+    assert len(list((tmp_path / "archives").glob("*.gz"))) > 1
+    records = warc.read_records(spark, folder)
+    captures = warc.assemble(records).collect()
+    payloads = sorted(bytes(c.record.payload).decode() for c in captures if c.record.record_type == "response")
+    assert payloads == sorted({p[2] or "" for p in PAGES})
+    assert all(c.record.intact for c in captures if c.record.record_type == "response")
+    assert all(c.request.block.startswith("GET ") and len(c.metadata) == 1 for c in captures)
+
+
+def record(kind, name, block, *fields):
+    head = [b"WARC/1.0", f"WARC-Type: {kind}".encode(), f"WARC-Record-ID: {name}".encode(), *fields,
+            f"Content-Length: {len(block)}".encode()]
+    return b"\r\n".join(head) + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_foreign_archives_and_links_in_either_direction(spark, tmp_path):
+    body = b"HTTP/1.1 200 OK\r\n\r\nhello"
+    archive = [
+        record("warcinfo", "<i>", b"software: x\r\n"),
+        record("request", "<q1>", b"GET / HTTP/1.1\r\n\r\n"),
+        record("response", "<r1>", body, b"WARC-Concurrent-To: <q1>", b"WARC-Payload-Digest: sha1:WRONG"),
+        record("metadata", "<m1>", b"a: 1\r\n", b"WARC-Concurrent-To: <q1>"),
+        record("metadata", "<m2>", b"a: 2\r\n", b"warc-concurrent-to: <r1>"),
+        record("metadata", "<m3>", b"lost\r\n", b"WARC-Concurrent-To: <nowhere>"),
+        record("response", "<r2>", b"HTTP/1.1 200 OK\r\n\r\n"),
+    ]
+    folder = tmp_path / "foreign"
+    folder.mkdir()
+    (folder / "a.warc").write_bytes(b"".join(archive[:4]))
+    (folder / "b.warc.gz").write_bytes(b"".join(gzip.compress(r) for r in archive[4:]))
+    records = warc.read_records(spark, str(folder))
+    assert records.count() == 7
+    got = {c.capture: c for c in warc.assemble(records).collect()}
+    assert set(got) == {"<r1>", "<r2>"}
+    assert got["<r1>"].request.record_id == "<q1>" and got["<r1>"].record.intact is False
+    assert [m.record_id for m in got["<r1>"].metadata] == ["<m1>", "<m2>"]
+    assert got["<r2>"].request is None and got["<r2>"].metadata == []
+
+
+def test_a_broken_archive_is_refused(spark, tmp_path):
+    (tmp_path / "x.warc").write_bytes(record("response", "<r>", b"abc")[:-6])
+    with pytest.raises(Exception, match="ends within a record"):
+        warc.read_records(spark, str(tmp_path)).collect()
+
+
+def test_empty_table(spark):
+    assert warc.round_trip(table(spark, PAGES[:1]).limit(0)).collect() == []
