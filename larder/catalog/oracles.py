@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from larder.catalog.queries import MAINGROUP, PROVINCE, SERIES_LEVEL, TREND_END, TREND_START
+from larder.catalog.queries import (
+    LATEST_ROWS, MAINGROUP, PROVINCE, SAMPLE_ROWS, SERIES_LEVEL, TREND_END, TREND_START,
+)
 from larder.schemas import CODED_IDS, FEATURES, KEY_COLUMNS, LAGS, LEVELS, MEASURES, MODEL_PREFERENCE
 
 STAR = """
@@ -216,7 +218,8 @@ SERVED_SUMS = ", ".join(
     f"CAST(sum({m}) AS DOUBLE) AS {m}" for m in ("sales_qty", "opening_inventory", "import_qty")
 )
 SERVED_ALL = f"SELECT {SERVED_COLUMNS}, {SERVED_SUMS} FROM star WHERE full_date < {CUTOFF} GROUP BY {SERVED_COLUMNS}"
-SERVED = f"served AS ({SERVED_ALL} ORDER BY full_date DESC, maingroup_id, subgroup_id, maingroup_name, subgroup_name LIMIT 300)"
+SERVED = f"served AS ({SERVED_ALL})"
+LATEST = f"ORDER BY full_date DESC, maingroup_id, subgroup_id, maingroup_name, subgroup_name LIMIT {LATEST_ROWS}"
 
 SERIES_KEYS = ", ".join(LEVELS[SERIES_LEVEL])
 RECENT = [
@@ -292,8 +295,10 @@ def _oracles() -> dict[str, str]:
 
     in_range = "sales_qty > 0 AND sales_qty < 1000"
     o["qty_range"] = _with() + f"\nSELECT date_key, product_key, store_key, CAST(sales_qty AS DOUBLE) AS sales_qty FROM sales WHERE {in_range}"
-    # The sample is the whole table as long as that has no more rows than the sample size.
-    o["qty_sample"] = _with() + f"\nSELECT CAST(sales_qty AS DOUBLE) AS sales_qty FROM sales WHERE {in_range} ORDER BY random() LIMIT 100000"
+    o["qty_sample"] = _with() + (
+        f"\nSELECT CAST(sales_qty AS DOUBLE) AS sales_qty FROM sales WHERE {in_range} "
+        f"ORDER BY md5(concat_ws('|', '1', date_key, product_key, store_key, sales_qty, sales_revenue)) LIMIT {SAMPLE_ROWS}"
+    )
     o["qty_summary"] = _with(*QTY) + (
         "\nSELECT scale, n_rows, " + ", ".join(_r(c, c) for c in ("mean", "median", "std", "low", "high")) + " FROM stats"
     )
@@ -351,6 +356,7 @@ def _oracles() -> dict[str, str]:
         f"FROM star WHERE province_id = {PROVINCE} AND full_date < {CUTOFF}"
     )
     o["serving_rollup"] = _with(SERVED) + "\nSELECT * FROM served"
+    o["serving_latest"] = _with(SERVED) + f"\nSELECT * FROM served {LATEST}"
     o["serving_daily"] = _with(SERVED) + (
         "\nSELECT full_date, " + ", ".join(f"round(sum({m}), 6) AS {m}" for m in ("sales_qty", "opening_inventory", "import_qty"))
         + f", {CALENDAR} FROM served GROUP BY full_date, {CALENDAR}"

@@ -32,6 +32,7 @@ QUERIES: dict[str, Query] = {}
 SERIES_LEVEL = "5_subgroup_province"
 TREND_START, TREND_END = dt.date(1996, 1, 1), dt.date(2000, 12, 31)
 PROVINCE, MAINGROUP = 3, "ECONOMY"
+SAMPLE_ROWS, LATEST_ROWS = 5_000, 300
 # Tree counts for one machine; the grid of the library has 500 to 1000.
 SMALL_GBT_GRID = (
     {"maxIter": 5, "maxDepth": 3, "stepSize": 0.3},
@@ -152,7 +153,9 @@ def qty_range(s: Star) -> DataFrame:
 
 @query()
 def qty_sample(s: Star) -> DataFrame:
-    return explore.random_sample(star.quantity_range(s.sales).select("sales_qty"))
+    columns = ("date_key", "product_key", "store_key", "sales_qty", "sales_revenue")
+    drawn = explore.random_sample(star.quantity_range(s.sales).select(*columns), SAMPLE_ROWS)
+    return drawn.select("sales_qty")
 
 
 query("qty_summary")(lambda s: explore.summary(_quantities(s)))
@@ -167,14 +170,15 @@ def _trend(s: Star) -> DataFrame:
 
 query("daily_trend")(_trend)
 query("top3_groups")(lambda s: explore.top_groups(_trend(s)))
-query("daily_trend_top3")(lambda s: explore.trend_of(_trend(s), explore.top_groups(_trend(s))))
+query("daily_trend_top3")(
+    lambda s: explore.trend_of(_trend(s), explore.names_of(explore.top_groups(_trend(s)))))
 
 
 @query()
 def daily_pivot(s: Star) -> DataFrame:
     trend = _trend(s)
-    names = [r["maingroup_name"] for r in explore.top_groups(trend).collect()]
-    wide = explore.daily_pivot(explore.trend_of(trend, explore.top_groups(trend)), names)
+    names = explore.names_of(explore.top_groups(trend))
+    wide = explore.daily_pivot(explore.trend_of(trend, names), names)
     return wide.withColumnsRenamed({n: f"top{i}" for i, n in enumerate(names, start=1)})
 
 
@@ -251,6 +255,7 @@ def _served(s: Star) -> DataFrame:
 
 
 query("serving_rollup")(_served)
+query("serving_latest")(lambda s: serving.latest_rows(_served(s), LATEST_ROWS))
 query("serving_daily")(lambda s: serving.serving_daily(_served(s)))
 
 
@@ -286,8 +291,7 @@ query("stock_status")(lambda s: replenish.stock_status(order_plan(s)))
 
 @query()
 def subgroup_details(s: Star) -> DataFrame:
-    cutoff = s.cutoff()
-    return replenish.subgroup_details(serving.serving_rollup(s, Request(cutoff), cutoff, None))
+    return replenish.subgroup_details(_served(s))
 
 
 @query()

@@ -19,22 +19,26 @@ GRID = 400
 # --- sampling -------------------------------------------------------------
 
 def random_sample(df: DataFrame, n: int = 100_000, seed: int = 1) -> DataFrame:
-    """A uniform sample of n rows, or the whole frame if it has no more.
+    """A uniform sample of n rows, or all rows if there are no more.
 
-    A sort of everything by a random number would send n rows of every task to
-    one. One counting pass finds the smallest power-of-two share of the random
-    numbers that still holds n rows; only that share, some 2n rows, is ordered.
+    Rows are drawn in the order of a hash of all their columns and the seed, so the
+    sample depends on neither the order of rows nor the partitions, and a task
+    that runs again draws the same. Rows that are equal in every column follow
+    each other; add a key to draw them apart.
+
+    A sort of everything would send n rows of every task to one. One counting
+    pass finds the smallest power-of-two share of the hashes that still holds n
+    rows; only that share, some 2n rows, is ordered.
     """
-    u = F.rand(seed)
-    drawn = df.withColumn("_u", u)
-    shares = [2.0 ** -k for k in range(48)]
-    counts = drawn.agg(*[
-        F.count_if(F.col("_u") < s).alias(f"n{k}") for k, s in enumerate(shares)
-    ]).first()
-    if counts[0] <= n:
-        return df
-    share = min(s for s, held in zip(shares, counts) if held >= n)
-    return drawn.where(F.col("_u") < share).orderBy("_u").limit(n).drop("_u")
+    order = F.md5(F.concat_ws("|", F.lit(str(seed)), *[
+        F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns
+    ]))
+    drawn = df.withColumn("_order", order)
+    place = F.conv(F.substring("_order", 1, 8), 16, 10).cast("double") / 2.0 ** 32
+    shares = [2.0 ** -k for k in range(32)]
+    counts = drawn.agg(*[F.count_if(place < s).alias(f"n{k}") for k, s in enumerate(shares)]).first()
+    share = min((s for s, held in zip(shares, counts) if held >= n), default=1.0)
+    return drawn.where(place < share).orderBy("_order").limit(n).drop("_order")
 
 
 # --- distribution ---------------------------------------------------------
@@ -145,8 +149,7 @@ def daily_trend(star: Star, start: dt.date, end: dt.date) -> DataFrame:
 
     The date key is the date itself as yyyyMMdd, so the range reaches the scan.
     """
-    first, last = (int(d.strftime("%Y%m%d")) for d in (start, end))
-    sales = star.sales.where(F.col("date_key").between(first, last))
+    sales = star.sales_within(start, end + dt.timedelta(days=1))
     sales = sales.select("date_key", "product_key", "sales_qty")
     total = F.sum("sales_qty").alias("sales_qty")
     if not star.is_small("products"):
@@ -159,16 +162,21 @@ def daily_trend(star: Star, start: dt.date, end: dt.date) -> DataFrame:
 
 
 def top_groups(trend: DataFrame, k: int = 3) -> DataFrame:
-    """The k main groups with the largest total, ties by name."""
+    """The k named main groups with the largest total, ties by name."""
     return (
-        trend.groupBy("maingroup_name").agg(F.sum("sales_qty").alias("total_qty"))
+        trend.where(F.col("maingroup_name").isNotNull()).groupBy("maingroup_name").agg(F.sum("sales_qty").alias("total_qty"))
         .orderBy(F.desc("total_qty"), "maingroup_name").limit(k)
     )
 
 
-def trend_of(trend: DataFrame, groups: DataFrame) -> DataFrame:
-    """The trend of the groups in a short list."""
-    return trend.join(F.broadcast(groups), "maingroup_name", "left_semi")
+def names_of(groups: DataFrame) -> list[str]:
+    """The names in a short list of groups, in its order."""
+    return [r["maingroup_name"] for r in groups.select("maingroup_name").collect()]
+
+
+def trend_of(trend: DataFrame, names: list[str]) -> DataFrame:
+    """The trend of the named groups."""
+    return trend.where(F.col("maingroup_name").isin(names))
 
 
 def daily_pivot(trend: DataFrame, names: list[str]) -> DataFrame:
@@ -178,6 +186,7 @@ def daily_pivot(trend: DataFrame, names: list[str]) -> DataFrame:
 
 # --- correlation ----------------------------------------------------------
 
+# The features that are correlated.
 CORRELATED = LAGS + ("rolling_mean_7", "rolling_std_7", "cv_7", "day_of_week", "is_weekend")
 
 # Labels of the features that have a shorter one.
@@ -198,18 +207,16 @@ def _pearson(a: Column, b: Column) -> Column:
 def correlation(features: DataFrame, names=CORRELATED) -> DataFrame:
     """Lower triangle of the correlation matrix, one row per pair of features.
 
-    A row of features is spread to its pairs, a fixed number, and the moments of
-    each pair combine on the map side.
+    All pairs are aggregates of one pass; the single row of results is then
+    spread to one row per pair.
     """
     names = present(features, names)
-    label = {c: F.lit(LABELS.get(c, c)) for c in names}
-    column = {c: F.col(c).cast("double") for c in names}
-    pairs = F.array(*[
-        F.struct(label[row].alias("feature"), label[col].alias("other"),
-                 column[row].alias("a"), column[col].alias("b"))
-        for i, row in enumerate(names) for col in names[: i + 1]
+    value = {c: F.col(c).cast("double") for c in names}
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[: i + 1]]
+    wide = features.agg(*[_pearson(value[a], value[b]).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
+    cells = F.array(*[
+        F.struct(F.lit(LABELS.get(a, a)).alias("feature"), F.lit(LABELS.get(b, b)).alias("other"),
+                 F.col(f"p{i}").alias("corr"))
+        for i, (a, b) in enumerate(pairs)
     ])
-    spread = features.select(F.explode(pairs).alias("pair")).select("pair.*")
-    return spread.groupBy("feature", "other").agg(
-        _pearson(F.col("a"), F.col("b")).alias("corr")
-    )
+    return wide.select(F.explode(cells).alias("cell")).select("cell.*")

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from larder.functions import numeric
-from larder.operators.serving import last_rows
 from larder.schemas import LAG_DAYS
 
 # Fixed values of the ordering rule.
@@ -67,7 +67,7 @@ def subgroup_details(rolled: DataFrame) -> DataFrame:
     The inventory is the mean over days. The variation is that of the last seven
     days (population deviation), or a fixed value for fewer than three days.
     Names come from the newest row. One aggregate brings rows down to a day per
-    subgroup; everything after works on that.
+    subgroup; one window and one more aggregate work on that.
     """
     names = F.struct("subgroup_name", "maingroup_name")
     first_names = F.min_by(names, F.struct("maingroup_id", "maingroup_name", "subgroup_name"))
@@ -76,16 +76,15 @@ def subgroup_details(rolled: DataFrame) -> DataFrame:
         F.sum("opening_inventory").alias("inventory"),
         first_names.alias("names"),
     )
-    totals = daily.groupBy("subgroup_id").agg(
+    back = F.row_number().over(Window.partitionBy("subgroup_id").orderBy(F.desc("full_date")))
+    recent = F.when(F.col("back") <= LAG_DAYS, F.col("sales_qty"))
+    lines = daily.withColumn("back", back).groupBy("subgroup_id").agg(
         F.try_divide(F.sum("inventory"), F.count("*")).alias("inventory"),
         F.count("*").alias("days"),
         F.max_by("names", "full_date").alias("names"),
         F.max_by("sales_qty", "full_date").alias("last_qty"),
-    )
-    spread = last_rows(daily, ["subgroup_id"], LAG_DAYS).groupBy("subgroup_id").agg(
-        numeric.variation(F.stddev_pop("sales_qty"), F.avg("sales_qty")).alias("cv")
-    )
-    lines = totals.join(spread, "subgroup_id").withColumns({
+        numeric.variation(F.stddev_pop(recent), F.avg(recent)).alias("cv"),
+    ).withColumns({
         "forecast": uplifted(F.col("last_qty")),
         "cv": F.when(F.col("days") >= 3, F.col("cv")).otherwise(F.lit(SHORT_SERIES_CV)),
     })

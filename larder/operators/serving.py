@@ -14,7 +14,6 @@ from larder.functions import calendar, numeric
 from larder.operators.star import Star, with_groups
 from larder.schemas import CALENDAR_COLUMNS, LAG_DAYS, LAGS
 
-ROW_LIMIT = 300
 _GROUP = ("subgroup_id", "subgroup_name", "maingroup_id", "maingroup_name")
 _SUMS = ("sales_qty", "opening_inventory", "import_qty")
 
@@ -56,28 +55,26 @@ def request_filter(request: Request) -> Column:
 
 def requested_sales(star: Star, request: Request, cutoff: dt.date) -> DataFrame:
     """Joined sales that a request is about. The date bound reaches the scan."""
-    end = int(request.before(cutoff).strftime("%Y%m%d"))
-    joined = with_groups(star, products=_GROUP, stores=("store_id", "province_id"))
-    return joined.where(request_filter(request) & (F.col("date_key") < end))
+    sales = star.sales_within(before=request.before(cutoff))
+    joined = with_groups(star, products=_GROUP, stores=("store_id", "province_id"), sales=sales)
+    return joined.where(request_filter(request))
 
 
-def serving_rollup(
-    star: Star, request: Request, cutoff: dt.date, limit: int | None = ROW_LIMIT
-) -> DataFrame:
-    """Daily sums per subgroup, newest first, cut to a number of rows.
-
-    Rows of one day are ordered by group, so the cut is repeatable.
-    """
+def serving_rollup(star: Star, request: Request, cutoff: dt.date) -> DataFrame:
+    """Daily sums per subgroup, over all matching sales."""
     cells = requested_sales(star, request, cutoff).groupBy("date_key", *_GROUP).agg(
         *[F.sum(m).cast("double").alias(m) for m in _SUMS]
     )
-    rolled = star.with_dates(cells, "full_date", *CALENDAR_COLUMNS).select(
+    return star.with_dates(cells, "full_date", *CALENDAR_COLUMNS).select(
         "full_date", *CALENDAR_COLUMNS, *_GROUP, *_SUMS
     )
-    if limit is None:
-        return rolled
-    return rolled.orderBy(F.desc("full_date"), "maingroup_id", "subgroup_id",
-                          "maingroup_name", "subgroup_name").limit(limit)
+
+
+def latest_rows(rolled: DataFrame, n: int) -> DataFrame:
+    """The newest n daily rows; rows of one day are ordered by group, so the cut is repeatable."""
+    return rolled.orderBy(
+        F.desc("full_date"), "maingroup_id", "subgroup_id", "maingroup_name", "subgroup_name"
+    ).limit(n)
 
 
 def serving_daily(rolled: DataFrame) -> DataFrame:
@@ -134,12 +131,14 @@ def series_state(daily: DataFrame, keys) -> DataFrame:
 def point_features(state: DataFrame, target: Column) -> DataFrame:
     """The feature row of a target date from the last quantities of a series.
 
-    A lag beyond the series is 0. The mean is over what there is; the deviation
-    is that of the population here, and 0 for fewer than seven days.
+    A lag beyond the series is 0, and so is a missing quantity, in lags, mean and
+    deviation alike. The mean is over what there is; the deviation is that of the
+    population here, and 0 for fewer than seven days.
     """
     h = F.col("h")
     size = F.size(h)
-    total = F.aggregate(h, F.lit(0.0), lambda a, x: a + F.coalesce(x, F.lit(0.0)))
+    filled = lambda x: F.coalesce(x, F.lit(0.0))
+    total = F.aggregate(h, F.lit(0.0), lambda a, x: a + filled(x))
     with_mean = state.withColumns({
         **{
             name: F.coalesce(F.try_element_at(h, F.lit(-i)), F.lit(0.0))
@@ -148,7 +147,7 @@ def point_features(state: DataFrame, target: Column) -> DataFrame:
         "rolling_mean_7": F.coalesce(F.try_divide(total, size), F.lit(0.0)),
     })
     mean = F.col("rolling_mean_7")
-    squares = F.aggregate(h, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean))
+    squares = F.aggregate(h, F.lit(0.0), lambda a, x: a + (filled(x) - mean) * (filled(x) - mean))
     with_std = with_mean.withColumn(
         "rolling_std_7",
         F.when(size >= LAG_DAYS, F.sqrt(squares / LAG_DAYS)).otherwise(F.lit(0.0)),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -18,15 +19,22 @@ _SURROGATE = {"products": "product_key", "stores": "store_key", "dates": "date_k
 
 @dataclass
 class Star:
-    """Four tables: daily sales and the dimensions of date, product and store."""
+    """Four tables: daily sales and the dimensions of date, product and store.
+
+    Where the date key is computed from a source column, `source_within` gives the
+    sales of a date range (first day, day after the last; None is open) filtered on
+    that column, so that the range reaches the files.
+    """
 
     sales: DataFrame
     dates: DataFrame
     products: DataFrame
     stores: DataFrame
     broadcast_rows: int = joins.BROADCAST_ROWS
+    source_within: Callable[[dt.date | None, dt.date | None], DataFrame] | None = None
     _small: dict[str, bool] = field(default_factory=dict, repr=False)
     _hot: dict[str, DataFrame | None] = field(default_factory=dict, repr=False)
+    _cutoff: list[dt.date | None] = field(default_factory=list, repr=False)
 
     def is_small(self, name: str) -> bool:
         """Whether a dimension may be broadcast; counted once, up to the limit."""
@@ -95,20 +103,33 @@ class Star:
         small = self.is_small(name) or joins.fits(groups, self.broadcast_rows)
         return joins.lookup(df, groups, ref, small, how)
 
+    def sales_within(self, start: dt.date | None = None, before: dt.date | None = None) -> DataFrame:
+        """Sales from a first day on, strictly before another one."""
+        sales = self.sales if self.source_within is None else self.source_within(start, before)
+        key = F.col("date_key")
+        if start is not None:
+            sales = sales.where(key >= int(start.strftime("%Y%m%d")))
+        if before is not None:
+            sales = sales.where(key < int(before.strftime("%Y%m%d")))
+        return sales
+
     def cutoff(self) -> dt.date | None:
-        """The last day with a sale."""
-        days = self.sales.select("date_key").distinct()
-        return self.with_dates(days, "full_date").agg(F.max("full_date")).first()[0]
+        """The last day with a sale; looked up once."""
+        if not self._cutoff:
+            last = self.sales.agg(F.max("date_key").alias("date_key"))
+            self._cutoff.append(self.with_dates(last, "full_date").agg(F.max("full_date")).first()[0])
+        return self._cutoff[0]
 
 
-def with_groups(star: Star, products=(), stores=()) -> DataFrame:
+def with_groups(star: Star, products=(), stores=(), sales: DataFrame | None = None) -> DataFrame:
     """Sales with the asked-for columns of product and store.
 
     Both joins are inner whether or not a column is asked for: a sale without a
     row in a dimension does not exist for the roll-ups. Dates are joined after
     aggregating by date key, when there are far fewer rows.
     """
-    return star.with_stores(star.with_products(star.sales, *products), *stores)
+    sales = star.sales if sales is None else sales
+    return star.with_stores(star.with_products(sales, *products), *stores)
 
 
 def full_star(star: Star) -> DataFrame:

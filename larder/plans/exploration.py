@@ -29,11 +29,10 @@ def distribution(star: Star, sample: int | None = None) -> dict[str, DataFrame]:
 def trend(star: Star, start: dt.date, end: dt.date, groups: int = 3) -> DataFrame | None:
     """Daily quantity of the largest main groups, a column each; None without sales."""
     daily = explore.daily_trend(star, start, end)
-    top = explore.top_groups(daily, groups)
-    names = sorted(r["maingroup_name"] for r in top.collect() if r["maingroup_name"] is not None)
+    names = sorted(explore.names_of(explore.top_groups(daily, groups)))
     if not names:
         return None
-    return explore.daily_pivot(explore.trend_of(daily, top), names)
+    return explore.daily_pivot(explore.trend_of(daily, names), names)
 
 
 def report(star: Star, level_one: DataFrame | None, start: dt.date, end: dt.date) -> dict:

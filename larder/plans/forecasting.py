@@ -75,15 +75,14 @@ def forecast_series(
 
 def forecast_record(
     star: Star, model: PipelineModel, model_name: str, request: Request, cutoff: dt.date,
-    limit: int = serving.ROW_LIMIT,
 ) -> DataFrame:
     """The answer to a forecast request as one nested row.
 
     Holds the forecast and order over all matching sales, the last seven days,
-    and a line per subgroup; the row limit of the request bounds its lists. Raises
-    if no sale matches.
+    and a line per subgroup, of which there are as many as the dimension has.
+    Raises if no sale matches.
     """
-    rolled = checkpointed(serving.serving_rollup(star, request, cutoff, limit))
+    rolled = checkpointed(serving.serving_rollup(star, request, cutoff))
     daily = serving.serving_daily(rolled).withColumn("one", F.lit(1))
     if daily.isEmpty():
         raise ValueError("no data for this filter")

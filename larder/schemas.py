@@ -80,4 +80,3 @@ MODEL_PREFERENCE = (
     "5_subgroup_province", "4_subgroup_national", "2_category_province", "1_category_national",
 )
 
-METRICS = ("RMSE", "MAPE", "MAE", "PRED25", "MBRE", "MIBRE")

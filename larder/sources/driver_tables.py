@@ -14,12 +14,17 @@ from pyspark.sql import functions as F
 from larder.functions.calendar import calendar, date_key
 from larder.operators.star import Star
 
-CALENDAR_START = dt.date(1970, 1, 1)
-CALENDAR_END = dt.date(2099, 12, 31)
 
-
-def sales(spark: SparkSession, folder: str) -> DataFrame:
+def sales(
+    spark: SparkSession, folder: str, start: dt.date | None = None, before: dt.date | None = None
+) -> DataFrame:
+    """Line items as sales, of a range of shipping dates if one is given."""
     items = spark.read.parquet(f"{folder}/lineitem.parquet")
+    shipped = items.schema["l_shipdate"].dataType
+    if start is not None:
+        items = items.where(F.col("l_shipdate") >= F.lit(start).cast(shipped))
+    if before is not None:
+        items = items.where(F.col("l_shipdate") < F.lit(before).cast(shipped))
     # The source holds doubles of two digits; as whole hundredths they are exact.
     cents = lambda name: F.rint(F.col(name) * 100).cast("long")
     hundredth = F.lit("0.01").cast("decimal(2,2)")
@@ -67,10 +72,18 @@ def stores(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def dates(spark: SparkSession, folder: str) -> DataFrame:
+    """The days from the first to the last shipping date."""
+    day = F.to_date("l_shipdate")
+    first, last = spark.read.parquet(f"{folder}/lineitem.parquet").agg(F.min(day), F.max(day)).first()
+    return calendar(spark, first, last) if first else calendar(spark, dt.date(1970, 1, 1), dt.date(1970, 1, 1))
+
+
 def star_of(spark: SparkSession, folder: str) -> Star:
     return Star(
         sales=sales(spark, folder),
-        dates=calendar(spark, CALENDAR_START, CALENDAR_END),
+        source_within=lambda start, before: sales(spark, folder, start, before),
+        dates=dates(spark, folder),
         products=products(spark, folder),
         stores=stores(spark, folder),
     )

@@ -78,7 +78,7 @@ def test_negative_inventory_and_trend(make_star):
     assert rows(trend, "full_date", "is_weekend", "maingroup_name", "sales_qty") == [
         (day(1), True, "greens", 11.0), (day(2), False, "fruit", 9.0)
     ]
-    assert [r.maingroup_name for r in explore.top_groups(trend, 1).collect()] == ["greens"]
+    assert explore.names_of(explore.top_groups(trend, 1)) == ["greens"]
     wide = explore.daily_pivot(trend, ["fruit", "greens"]).orderBy("full_date").collect()
     assert [tuple(r) for r in wide] == [(day(1), None, 11.0), (day(2), 9.0, None)]
     big = make_star([tuple(r) for r in s.sales.collect()], broadcast_rows=0)
@@ -86,6 +86,13 @@ def test_negative_inventory_and_trend(make_star):
     assert rows(explore.daily_trend(big, day(1), day(3))) == rows(explore.daily_trend(s, day(1), day(3)))
 
 
+def test_groups_without_a_name_take_no_place_in_the_top(spark):
+    trend = spark.createDataFrame(
+        [(None, 50.0), ("c", 7.0), ("a", 9.0), ("b", 8.0), ("d", 1.0)], "maingroup_name string, sales_qty double")
+    assert explore.names_of(explore.top_groups(trend)) == ["a", "b", "c"]
+    assert rows(explore.trend_of(trend, ["a", "c"])) == [("a", 9.0), ("c", 7.0)]
+
+
 def test_lists(make_star):
     s = make_star([sale(day(1), 1, 1, 1), sale(day(1), 8, 1, 1), sale(day(1), 9, 1, 1)])
     assert rows(lists.provinces(s)) == [(100, "North"), (200, "South")]

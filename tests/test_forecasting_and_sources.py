@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from larder import schemas
 from larder.models.regressors import train_linear
-from larder.operators import explore, features, rollup, serving
+from larder.operators import explore, features, replenish, rollup, serving
 from larder.operators.serving import Request
 from larder.plans import forecasting
 from larder.schemas import LEVELS
 from larder.sources import store, tables
+from larder.sources.driver_tables import star_of
 
 LEVEL = "5_subgroup_province"
 KEYS = LEVELS[LEVEL]
@@ -39,18 +40,20 @@ def weights_of(model):
 def by_hand(model, series, dates):
     """Roll a series forward one date at a time."""
     names, w, base = weights_of(model)
-    path = list(series)
+    weight = dict(zip(names, w))
+    by_lag = np.array([weight[f"lag_{i}"] for i in range(7, 0, -1)])  # oldest first, as in a path
+    known, window = min(7, len(series)), np.zeros(7)
+    window[7 - known:] = series[-known:]
     for d in dates:
-        last = path[-7:]
-        std = float(np.std(last)) if len(path) >= 7 else 0.0
-        row = {f"lag_{i}": path[-i] if len(path) >= i else 0.0 for i in range(1, 8)}
-        row |= {
-            "rolling_mean_7": float(np.mean(last)), "rolling_std_7": std,
-            "cv_7": std / (float(np.mean(last)) + 1e-6), "day_of_week": d.weekday(),
-            "is_weekend": int(d.weekday() >= 5), "week_of_month": (d.day - 1) // 7 + 1,
-        }
-        path.append(float(np.expm1(w @ np.array([row[n] for n in names]) + base)))
-    return path[-1]
+        seen = window[7 - known:]
+        mean, spread = seen.mean(), seen.std() * (known == 7)
+        total = base + by_lag @ window + weight["rolling_mean_7"] * mean
+        total += spread * (weight["rolling_std_7"] + weight["cv_7"] / (mean + 1e-6))
+        iso = d.isoweekday()
+        total += weight["day_of_week"] * (iso - 1) + weight["is_weekend"] * (iso > 5)
+        total += weight["week_of_month"] * -(-d.day // 7)
+        window, known = np.append(window[1:], np.expm1(total)), min(7, known + 1)
+    return float(window[-1])
 
 
 def series_of(daily):
@@ -120,12 +123,13 @@ def test_model_without_a_feature_column_gets_zero(model, daily):
 
 # --- sources --------------------------------------------------------------
 
+# The header and day names that the files have.
 DATES_CSV = """﻿date_key,full_date,day_of_week,day_name,week_of_month,is_weekend,is_month_start,is_month_end
 20260301,2026-03-01,6,Chủ nhật,1,True,True,False
 20260302,2026-03-02,0,Thứ 2,1,False,False,False
 """
 PRODUCTS_CSV = """﻿product_key,product_id,product_name,subgroup_id,subgroup_name,maingroup_id,maingroup_name
-7,1232844000999,CẢI BÓ XÔI 300GR,2844,Rau ăn lá,1234,Rau Củ
+7,42000017,ångström cheese 50 g,31,hard cheese,3,dairy
 """
 
 
@@ -135,7 +139,7 @@ def test_sample_files_are_read_with_their_types(spark, tmp_path):
     dates = tables.read_dates(spark, str(tmp_path / "d.csv"))
     assert rows(dates)[0] == (20260301, day(1), 6, "Chủ nhật", 1, True, True, False)
     assert rows(tables.read_products(spark, str(tmp_path / "p.csv"))) == [
-        (7, 1232844000999, "CẢI BÓ XÔI 300GR", 2844, "Rau ăn lá", 1234, "Rau Củ")
+        (7, 42000017, "ångström cheese 50 g", 31, "hard cheese", 3, "dairy")
     ]
 
 
@@ -166,7 +170,23 @@ def test_date_bounds_reach_the_scan(spark, month_star, tmp_path, capsys):
     assert "sales_revenue" not in served  # a column the request does not need is not read
     trend = plan_of(explore.daily_trend(star, day(3), day(9)), capsys)
     assert "GreaterThanOrEqual(date_key,20260303)" in trend
-    assert "LessThanOrEqual(date_key,20260309)" in trend and "store_key" not in trend
+    assert "LessThan(date_key,20260310)" in trend and "store_key" not in trend
+
+
+def test_date_bounds_of_the_given_tables_reach_the_files(spark, folder, capsys):
+    s = star_of(spark, folder)
+    cutoff = s.cutoff()
+    for df in (explore.daily_trend(s, day(3), day(9)), serving.requested_sales(s, Request(day(20)), cutoff),
+               serving.serving_rollup(s, Request(day(20)), cutoff)):
+        pushed = [line for line in plan_of(df, capsys).splitlines() if "lineitem" in line]
+        assert pushed and all("LessThan(l_shipdate" in line for line in pushed)
+
+
+def test_subgroup_lines_need_one_scan_of_the_sales(spark, folder, capsys):
+    s = star_of(spark, folder)
+    rolled = serving.serving_rollup(s, Request(s.cutoff()), s.cutoff())
+    plan = plan_of(replenish.subgroup_details(rolled), capsys)
+    assert plan.count("lineitem.parquet") == 1 and "SortMergeJoin" not in plan
 
 
 def test_features_need_one_exchange_for_sums_and_one_for_windows(spark, month_star, tmp_path, capsys):

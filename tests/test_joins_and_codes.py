@@ -104,4 +104,7 @@ def test_sample_has_the_asked_for_size_and_no_repeats(spark):
     assert len(ids) == len(set(ids)) == 1_000
     assert 20_000 < sum(ids) / 1_000 < 30_000
     assert ids == [r.id for r in explore.random_sample(df, 1_000, seed=3).collect()]
-    assert explore.random_sample(df, 50_000).count() == 50_000
+    assert explore.random_sample(df, 50_000).count() == 50_000 == explore.random_sample(df, 60_000).count()
+    other_order = df.repartition(7).orderBy(F.desc("id"))
+    assert ids == [r.id for r in explore.random_sample(other_order, 1_000, seed=3).collect()]
+    assert ids != [r.id for r in explore.random_sample(df, 1_000, seed=4).collect()]

@@ -40,7 +40,8 @@ def test_missing_values_are_skipped_but_counted(spark):
     r = scored(spark, [(10.0, 11.0), (nan, 3.0), (5.0, nan), (None, 1.0), (0.0, 2.0)])
     assert r.N == 5
     assert r.MAE == pytest.approx(1.5)  # the zero actual counts here, not in percentages
-    assert r.MAPE == pytest.approx(10.0) and r.PRED25 == 100.0
+    # A missing forecast has no error but is a miss: one of two is near.
+    assert r.MAPE == pytest.approx(10.0) and r.PRED25 == 50.0
 
 
 def test_metric_without_a_valid_row_is_missing(spark):
@@ -90,7 +91,7 @@ def test_order_rule_at_its_boundaries(spark):
 
 def test_subgroup_lines_equal_a_loop(month_star):
     cutoff = day(31)
-    rolled = serving.serving_rollup(month_star, Request(day(30)), cutoff, None)
+    rolled = serving.serving_rollup(month_star, Request(day(30)), cutoff)
     data = rolled.collect()
     got = {r.subgroup_id: r for r in replenish.subgroup_details(rolled).collect()}
     assert set(got) == {r.subgroup_id for r in data}
@@ -113,7 +114,7 @@ def test_subgroup_lines_equal_a_loop(month_star):
 
 def test_short_subgroup_uses_the_fixed_variation(make_star):
     star = make_star([sale(day(n), 1, 1, n * 10, "0") for n in (1, 2)])
-    rolled = serving.serving_rollup(star, Request(day(3)), day(2), None)
+    rolled = serving.serving_rollup(star, Request(day(3)), day(2))
     (line,) = replenish.subgroup_details(rolled).collect()
     assert line.safety_factor_pct == pytest.approx(18.8)  # 15 + 25 * 0.15, rounded
     assert line.subgroup_name == "leaf" and line.maingroup_name == "greens"
@@ -121,9 +122,9 @@ def test_short_subgroup_uses_the_fixed_variation(make_star):
 
 # --- serving --------------------------------------------------------------
 
-def sold_days(star, request, cutoff, limit=None):
+def sold_days(star, request, cutoff):
     return [r.full_date for r in serving.serving_daily(
-        serving.serving_rollup(star, request, cutoff, limit)).orderBy("full_date").collect()]
+        serving.serving_rollup(star, request, cutoff)).orderBy("full_date").collect()]
 
 
 def test_date_bounds_of_a_request(make_star):
@@ -147,11 +148,31 @@ def test_filters_of_a_request(make_star):
     assert count(province_id=999) == 0
 
 
-def test_row_limit_is_repeatable(month_star):
-    a, b = (rows(serving.serving_rollup(month_star, Request(day(31)), day(31), 7)) for _ in range(2))
+def test_latest_rows_are_repeatable(month_star):
+    rolled = serving.serving_rollup(month_star, Request(day(31)), day(31))
+    a, b = (rows(serving.latest_rows(rolled, 7)) for _ in range(2))
     assert a == b and len(a) == 7
 
 
+def test_many_subgroups_a_day_leave_the_history_whole(make_star):
+    products = [(i, i, f"p{i}", i, f"s{i}", 1, "all") for i in range(1, 401)]
+    star = make_star([sale(day(n), i, 1, 1) for n in range(1, 10) for i in range(1, 401)], products=products)
+    rolled = serving.serving_rollup(star, Request(day(10)), day(9))
+    daily = serving.serving_daily(rolled).withColumn("k", F.lit(1))
+    assert [r.sales_qty for r in daily.collect()] == [400.0] * 9
+    r = serving.point_features(serving.series_state(daily, ["k"]), F.lit(day(10))).first()
+    assert [r[f"lag_{i}"] for i in range(1, 8)] == [400.0] * 7
+    assert serving.recent_history(daily, ["k"]).count() == 7
+
+
+def test_a_missing_quantity_counts_as_zero_in_all_point_features(spark):
+    state = spark.createDataFrame([(1, [3.0, None, 4.0, 0.0, 7.0, None, 7.0])], "k int, h array<double>")
+    r = serving.point_features(state, F.lit(day(9))).first()
+    series = [3, 0, 4, 0, 7, 0, 7]
+    assert [r[f"lag_{i}"] for i in range(1, 8)] == series[::-1]
+    assert r.rolling_mean_7 == pytest.approx(3.0) and r.rolling_std_7 == pytest.approx(statistics.pstdev(series))
+
+
 @pytest.mark.parametrize("length", [1, 3, 6, 7, 8])
 def test_point_features_of_short_and_long_series(make_star, length):
     star = make_star([sale(day(n), 1, 1, n * n) for n in range(1, length + 1)])
