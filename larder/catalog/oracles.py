@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from larder.catalog.queries import (
-    LATEST_ROWS, MAINGROUP, PROVINCE, SAMPLE_ROWS, SERIES_LEVEL, TREND_END, TREND_START,
+    FIXED_BASE, FIXED_LINE, LATEST_ROWS, MAINGROUP, PROVINCE, ROLLOUT_DAYS, SAMPLE_ROWS, SERIES_LEVEL, TREND_END,
+    TREND_START,
 )
 from larder.schemas import CODED_IDS, FEATURES, KEY_COLUMNS, LAGS, LEVELS, MEASURES, MODEL_PREFERENCE
 
@@ -253,6 +254,64 @@ ORDERS = [
 ]
 
 
+def _rolled(source: str, keys: str, before: str, days: int) -> list[str]:
+    """CTEs that end in `rolled`: the fixed line from the last seven days, one row a step.
+
+    Without days it is the one day at the cutoff.
+    """
+    lag = {f"lag_{i}": f"CASE WHEN len(h) >= {i} THEN h[len(h) - {i - 1}] ELSE 0 END" for i in range(1, 8)}
+    terms = " + ".join(f"{w}::DOUBLE * ({lag.get(name, name)})" for name, w in FIXED_LINE.items())
+    return [
+        f"recent AS (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY full_date DESC) AS back FROM {source} "
+        f"WHERE full_date {before} {CUTOFF} QUALIFY back <= 7)",
+        f"state AS (SELECT {keys}, list(sales_qty ORDER BY full_date) AS h, max(full_date) AS last_date, "
+        f"arg_max(opening_inventory, full_date) AS stock FROM recent GROUP BY {keys})",
+        f"rolled AS (SELECT {keys}, h, last_date, stock, 0 AS step, NULL::DOUBLE AS cv, NULL::DOUBLE AS qty FROM state UNION ALL "
+        f"SELECT {keys}, list_append(h, exp(line) - 1)[-7:], last_date, stock, step + 1, cv_7, exp(line) - 1 FROM ("
+        f"SELECT *, {FIXED_BASE}::DOUBLE + {terms} AS line FROM ("
+        "SELECT *, rolling_std_7 / (rolling_mean_7 + 1e-6) AS cv_7, isodow(target) - 1 AS day_of_week, "
+        "CAST(isodow(target) >= 6 AS INT) AS is_weekend, (day(target) - 1) // 7 + 1 AS week_of_month FROM ("
+        "SELECT *, list_avg(h) AS rolling_mean_7, CASE WHEN len(h) >= 7 THEN list_stddev_pop(h) ELSE 0 END AS rolling_std_7, "
+        f"CAST({CUTOFF} + step{' + 1' if days else ''} AS DATE) AS target FROM rolled WHERE step < {max(days, 1)}))))",
+    ]
+
+
+def _rolled_sql(days: int) -> str:
+    plan = _ordered(f"(SELECT * FROM rolled WHERE step = {max(days, 1)})", f"{SERIES_KEYS}, last_date, {_r('cv', 'cv_7')}, {_r('qty', 'forecast')}")
+    ctes = _with(f"daily AS ({_daily(SERIES_LEVEL)})", *_rolled("daily", SERIES_KEYS, "<=" if days else "<", days))
+    return f"WITH RECURSIVE {ctes.removeprefix('WITH ')}\n{plan}"
+
+
+DETAILS = [
+    "days AS (SELECT subgroup_id, full_date, sum(sales_qty) AS sales_qty, sum(opening_inventory) AS stock, "
+    "arg_min({'s': subgroup_name, 'm': maingroup_name}, maingroup_id) AS names FROM served GROUP BY subgroup_id, full_date)",
+    "ranked AS (SELECT *, row_number() OVER (PARTITION BY subgroup_id ORDER BY full_date DESC) AS back FROM days)",
+    "lines AS (SELECT subgroup_id, arg_max(names, full_date) AS names, arg_max(sales_qty, full_date) * (1 + 0.05::DOUBLE) AS qty, "
+    "sum(stock) / count(*) AS stock, CASE WHEN count(*) >= 3 THEN stddev_pop(sales_qty) FILTER (back <= 7) / "
+    "(avg(sales_qty) FILTER (back <= 7) + 1e-6) ELSE 0.15 END AS cv FROM ranked GROUP BY subgroup_id)",
+]
+STATUS = (
+    "CASE WHEN import_suggestion > predicted_qty * 0.5 THEN 'alert' WHEN import_suggestion > 0 THEN 'warn' ELSE 'ok' END AS status, "
+    "CASE WHEN opening_inventory > 0 AND predicted_qty > 0 THEN CAST(round(opening_inventory / predicted_qty) AS BIGINT) END AS days_of_cover, "
+    "NOT (opening_inventory > 0 AND predicted_qty > 0) AS is_short"
+)
+
+
+def _record_sql() -> str:
+    ctes = _with(
+        f"served AS ({SERVED_ALL})",
+        "daily AS (SELECT 1 AS one, full_date, sum(sales_qty) AS sales_qty, sum(opening_inventory) AS opening_inventory FROM served GROUP BY full_date)",
+        *_rolled("daily", "one", "<", 0), *DETAILS,
+        f"total AS ({_ordered('(SELECT * FROM rolled WHERE step = 1)', 'one')})",
+    )
+    return f"WITH RECURSIVE {ctes.removeprefix('WITH ')}" + (
+        f"\nSELECT * EXCLUDE (one), {STATUS}, {CUTOFF} AS forecast_date, 'fixed' AS model_used, false AS is_rolling, "
+        "0 AS rollout_days, 0 AS error_growth_pct, (SELECT CAST(count(*) AS INT) FROM recent) AS n_history, "
+        f"(SELECT CAST(count(*) AS INT) FROM lines) AS n_details, {_r('(SELECT sum(sales_qty) FROM recent)', 'history_qty')}, "
+        f"{_r('(SELECT sum(round(qty, 2)) FROM lines)', 'details_qty')} FROM total"
+    )
+
+
 def _oracles() -> dict[str, str]:
     o: dict[str, str] = {}
     o["star_scan"] = _with() + f"\nSELECT date_key, product_key, store_key, {DOUBLES}, opening_inventory < 0 AS is_negative_inventory FROM sales"
@@ -370,20 +429,15 @@ def _oracles() -> dict[str, str]:
     o["point_features"] = _with(*POINT) + f"\nSELECT {SERIES_KEYS}, {derived}, {CALENDAR} FROM point"
     o["order_plan"] = _with(*ORDERS) + "\nSELECT * FROM plan"
     o["stock_status"] = _with(*ORDERS) + (
-        "\nSELECT *, CASE WHEN import_suggestion > predicted_qty * 0.5 THEN 'alert' WHEN import_suggestion > 0 THEN 'warn' ELSE 'ok' END AS status, "
-        "CASE WHEN opening_inventory > 0 AND predicted_qty > 0 THEN CAST(round(opening_inventory / predicted_qty) AS BIGINT) END AS days_of_cover, "
-        "NOT (opening_inventory > 0 AND predicted_qty > 0) AS is_short FROM plan"
+        f"\nSELECT *, {STATUS} FROM plan"
     )
     o["subgroup_details"] = _with(
-        f"served AS ({SERVED_ALL})",
-        "days AS (SELECT subgroup_id, full_date, sum(sales_qty) AS sales_qty, sum(opening_inventory) AS stock, "
-        "arg_min({'s': subgroup_name, 'm': maingroup_name}, maingroup_id) AS names FROM served GROUP BY subgroup_id, full_date)",
-        "ranked AS (SELECT *, row_number() OVER (PARTITION BY subgroup_id ORDER BY full_date DESC) AS back FROM days)",
-        "lines AS (SELECT subgroup_id, arg_max(names, full_date) AS names, arg_max(sales_qty, full_date) * (1 + 0.05::DOUBLE) AS qty, "
-        "sum(stock) / count(*) AS stock, CASE WHEN count(*) >= 3 THEN stddev_pop(sales_qty) FILTER (back <= 7) / "
-        "(avg(sales_qty) FILTER (back <= 7) + 1e-6) ELSE 0.15 END AS cv FROM ranked GROUP BY subgroup_id)",
+        f"served AS ({SERVED_ALL})", *DETAILS,
         f"plan AS ({_ordered('lines', 'nullif(subgroup_id, 0) AS subgroup_id, names')})",
     ) + "\nSELECT * EXCLUDE (names), names.s AS subgroup_name, names.m AS maingroup_name FROM plan"
+    o["one_day_forecast_fixed"] = _rolled_sql(0)
+    o["recursive_forecast_fixed"] = _rolled_sql(ROLLOUT_DAYS)
+    o["forecast_record_fixed"] = _record_sql()
     rank = " ".join(f"WHEN '{level}' THEN {i}" for i, level in enumerate(MODEL_PREFERENCE))
     o["model_preference"] = _with(*ALL_FEATURES) + (
         f"\nSELECT level FROM (SELECT level, {counts} FROM feat GROUP BY level) WHERE n_train > 0 AND n_test > 0 "

@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -330,15 +332,60 @@ def forecast_record(s: Star) -> DataFrame:
     return forecasting.forecast_record(s, _linear_model(s), SERIES_LEVEL, Request(cutoff), cutoff)
 
 
-def _gbt(s: Star):
-    level = "1_category_national"
+# --- forecasts of a fixed line, which SQL can follow step by step ----------
+
+# Weights of a line on the log quantity. They are arbitrary and small, so that a
+# forecast rolled out over days stays near the series.
+FIXED_BASE = 0.5
+FIXED_LINE = {
+    "lag_1": 0.02, "lag_3": 0.005, "lag_7": 0.01, "rolling_mean_7": 0.015, "rolling_std_7": -0.005,
+    "cv_7": 0.1, "day_of_week": 0.02, "is_weekend": -0.1, "week_of_month": 0.01,
+}
+ROLLOUT_DAYS = 7
+
+
+def fixed_model() -> PipelineModel:
+    terms = " + ".join(f"{w}D * {name}" for name, w in FIXED_LINE.items())
+    return PipelineModel([
+        VectorAssembler(inputCols=list(FEATURES), outputCol="inputs"),
+        SQLTransformer(statement=f"SELECT *, {FIXED_BASE}D + {terms} AS prediction FROM __THIS__"),
+    ])
+
+
+def _fixed_forecast(s: Star, days: int) -> DataFrame:
+    cutoff = s.cutoff()
+    return forecasting.forecast_series(
+        fixed_model(), _daily(s), LEVELS[SERIES_LEVEL], cutoff + dt.timedelta(days=days), cutoff).drop("h")
+
+
+query("one_day_forecast_fixed")(lambda s: _fixed_forecast(s, 0))
+query("recursive_forecast_fixed")(lambda s: _fixed_forecast(s, ROLLOUT_DAYS))
+
+
+@query()
+def forecast_record_fixed(s: Star) -> DataFrame:
+    cutoff = s.cutoff()
+    record = forecasting.forecast_record(s, fixed_model(), "fixed", Request(cutoff), cutoff)
+    return record.withColumns({
+        "n_history": F.size("history"), "n_details": F.size("details"),
+        "history_qty": F.aggregate("history", F.lit(0.0), lambda a, h: a + h["sales_qty"]),
+        "details_qty": F.aggregate("details", F.lit(0.0), lambda a, d: a + d["predicted_qty"]),
+    }).drop("history", "details")
+
+
+def _gbt(s: Star, level: str):
     keys = LEVELS[level]
-    coded = encoding.encoded(features.level_features(s, level), keys)
-    return train_gbt(coded, keys, SMALL_GBT_GRID)
+    return train_gbt(encoding.encoded(features.level_features(s, level), keys), keys, SMALL_GBT_GRID)
+
+
+@query("gbt_forecast")
+def _gbt_forecast(s: Star) -> DataFrame:
+    fitted = {level: _gbt(s, level) for level in LEVELS}
+    return training.stack([
+        training.long_predictions(f.predictions, level, "gbt") for level, f in fitted.items() if f is not None])
 
 
-query("gbt_forecast")(lambda s: _gbt(s).predictions)
-query("feature_importance")(lambda s: feature_importance(_gbt(s)))
+query("feature_importance")(lambda s: feature_importance(_gbt(s, "1_category_national")))
 
 
 @query()
@@ -357,7 +404,7 @@ def predictions(s: Star) -> DataFrame:
     table = checkpointed(features.all_level_features(s))
     return training.all_predictions(
         lambda level: table.where(F.col("level") == level),
-        families=("linear", "arima", "naive"),
+        gbt_grid=SMALL_GBT_GRID,
     )
 
 

@@ -8,7 +8,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions.numeric import log1p, present
+from larder.functions.numeric import log1p, nan_to_null, present
 from larder.operators.star import Star
 from larder.schemas import LAGS
 
@@ -199,9 +199,7 @@ LABELS = {
 
 def _pearson(a: Column, b: Column) -> Column:
     """Pairwise-complete correlation, NULL when a side is constant."""
-    both = a.isNotNull() & b.isNotNull()
-    spread = F.var_pop(F.when(both, a)) * F.var_pop(F.when(both, b))
-    return F.try_divide(F.covar_pop(a, b), F.sqrt(spread))
+    return nan_to_null(F.corr(a, b))
 
 
 def correlation(features: DataFrame, names=CORRELATED) -> DataFrame:
