@@ -61,8 +61,8 @@ def test_forest_depths_equal_a_walk_and_outliers_score_high():
 def test_query_over_a_mixed_corpus(spark):
     rng = random.Random(4)
     words = [f"word{i:03d}" for i in range(500)]
-    good = [" ".join(rng.choices(words, k=120)) + "." for _ in range(300)]
-    junk = [" ".join(w + "###" for w in rng.choices(words, k=120)) for _ in range(20)]
+    good = [" ".join(rng.sample(words, k=120)) + "." for _ in range(300)]
+    junk = [" ".join(w + "###" for w in rng.sample(words, k=120)) for _ in range(20)]
     texts = good + junk + [None, "", "too few words", " ".join(["same three words"] * 60)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     labels = spark.createDataFrame(
