@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension of this many narrow rows is some 100 MB in executor memory.
+# A dimension of this many narrow rows is some 100 MB in executor memory; wide ones
+# are bounded by the size of their values as text.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 128_000_000
 
 # Keys with at least 1/HOT_KEYS of the rows are spread; there are at most HOT_KEYS.
 HOT_KEYS = 2_000
@@ -14,9 +16,11 @@ HOT_SAMPLE = 0.01
 SALTS = 1024
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """Whether a frame has at most max_rows rows; reads no more than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a frame has at most so many rows and bytes; reads no more rows than that."""
+    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(0))
+    rows, size = df.limit(max_rows + 1).agg(F.count("*"), F.sum(width)).first()
+    return rows <= max_rows and (size or 0) <= max_bytes
 
 
 def lookup(

@@ -7,7 +7,7 @@ import math
 import duckdb
 import pandas as pd
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "pages", "labels")
 
 
 def duck(folder: str):

@@ -51,6 +51,11 @@ def test_no_hot_keys_in_an_empty_frame(spark):
     assert joins.hot_keys(spark.range(0), "id") is None
 
 
+def test_fits_bounds_the_bytes_too(spark):
+    wide = spark.createDataFrame([(1, "x" * 1000), (2, None)], "id int, text string")
+    assert joins.fits(wide, 2, 1002) and not joins.fits(wide, 2, 1001) and not joins.fits(wide, 1)
+
+
 def test_fits_counts_up_to_the_limit(spark):
     assert joins.fits(spark.range(10), 10) and not joins.fits(spark.range(11), 10)
 
