@@ -28,6 +28,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,8 +40,9 @@ THREADS = 2
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
 
-PART_CHARS = 4_000_000
-CACHED = 200_000
+# A worker holds one part's texts and ids as Python objects at a time.
+PART_BYTES = 2_000_000
+CACHED = 100_000
 CACHED_LENGTH = 40
 
 
@@ -265,10 +267,10 @@ def codec_of(data: bytes, threads: int = THREADS) -> Codec:
 # --- operators ------------------------------------------------------------
 
 def _parts(sizes: np.ndarray) -> Iterator[slice]:
-    """Rows in runs of a bounded number of characters, at least one row each."""
+    """Rows in runs of a bounded number of bytes, at least one row each."""
     start, size = 0, 0
     for i, n in enumerate(sizes):
-        if i > start and size + n > PART_CHARS:
+        if i > start and size + n > PART_BYTES:
             yield slice(start, i)
             start, size = i, 0
         size += int(n)
@@ -276,13 +278,13 @@ def _parts(sizes: np.ndarray) -> Iterator[slice]:
         yield slice(start, len(sizes))
 
 
-def _encoder(data: bytes, threads: int, id_type: pa.DataType | None = None) -> Callable:
+def _encoder(data: bytes, threads: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(data, threads)
         for batch in batches:
-            texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
-            for part in _parts(np.array([len(t) for t in texts])):
-                some = texts[part]
+            texts = pc.fill_null(batch.column(1), "")
+            for part in _parts(pc.binary_length(texts).to_numpy(zero_copy_only=False)):
+                some = texts.slice(part.start, part.stop - part.start).to_pylist()
                 ids, equal = codec.encode(some)
                 sizes = np.array([len(i) for i in ids], np.int32)
                 flat = np.fromiter((x for row in ids for x in row), np.int32, int(sizes.sum()))
