@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from larder.session import checkpointed
 
-__all__ = ["checkpointed", "fresh", "read", "shared_folder", "stored"]
+__all__ = ["bounded_sample", "checkpointed", "fresh", "read", "shared_folder", "stored", "text_of"]
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -58,3 +58,20 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 def text_of(column: str | Column) -> Column:
     """A text column in which null is the empty text."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
+
+
+def bounded_sample(rows: DataFrame, n: int, column: str, seed: int) -> list:
+    """At most n values of a column, drawn by a hash of the row.
+
+    The share of hashes that is drawn comes from the number of rows, so the tasks
+    together send the driver about n rows, however many there are. A limit
+    guards against tables of equal rows, whose hashes are equal too.
+    """
+    total = rows.count()
+    if not total:
+        return []
+    cells = 1 << 30
+    draw = F.pmod(F.xxhash64(*rows.columns, F.lit(seed)), F.lit(cells))
+    share = min(1.0, (n + 4 * n ** 0.5) / total)
+    found = rows.select(draw.alias("draw"), F.col(column).alias("value")).where(F.col("draw") < int(share * cells) + 1)
+    return [r.value for r in sorted(found.limit(2 * n).collect(), key=lambda r: (r.draw, r.value))[:n]]

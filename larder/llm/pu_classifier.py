@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import stored
+from larder.llm.common import bounded_sample, stored
 
 POSITIVES = 10_000
 UNLABELLED = 20_000
@@ -203,9 +203,9 @@ def text_score(text: Column, model: Model | None) -> Column:
 # --- learning from tables -------------------------------------------------
 
 def _sample(rows: DataFrame, n: int) -> np.ndarray:
-    """At most n rows' features, the first by a hash of the id and the features."""
-    found = rows.orderBy(F.xxhash64("id", "x", F.lit(SEED)), "x").limit(n).select("x").collect()
-    return np.array([r.x for r in found], np.float64).reshape(len(found), len(FEATURES))
+    """At most n rows' features, drawn by a hash of the id and the features."""
+    found = bounded_sample(rows.select("id", "x"), n, "x", SEED)
+    return np.array(found, np.float64).reshape(len(found), len(FEATURES))
 
 
 def _half(which: int) -> Column:

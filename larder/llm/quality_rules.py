@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import stored
+from larder.llm.common import bounded_sample, stored
 
 LEAST_WORDS = 50
 MOST_REPEATED = 50
@@ -210,12 +210,9 @@ def judge(
 ) -> DataFrame:
     """Every row's id, counts, base_failed, kept and anomaly score. Texts are read once."""
     found = stored(docs.select(F.col(id_column).alias("id"), counts(F.col(text_column)).alias("c")))
-    some = (
-        found.where(~_base_failed()).orderBy(F.xxhash64("id", "c", F.lit(SEED)), "c").limit(sample)
-        .select("c").collect()
-    )
+    some = bounded_sample(found.where(~_base_failed()), sample, "c", SEED)
     if some:
-        forest = Forest(statistics(np.array([r.c for r in some])))
+        forest = Forest(statistics(np.array(some)))
         rated = stored(found.select("id", "c", _base_failed().alias("base_failed"), scored(F.col("c"), forest).alias("score")))
         bound = threshold(rated, labels, id_column, label_column)
     else:
