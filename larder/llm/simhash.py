@@ -130,7 +130,7 @@ def links(nodes: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """
     spark = nodes.sparkSession
     free: dict[int, tuple[int, ...]] = {0: tuple(range(BITS))}
-    level = nodes.select(F.lit(0).alias("parent"), "fp")
+    level = nodes.select("fp")
     found: list[DataFrame] = []
     while True:
         ways: dict[int, tuple[int, ...]] = {}
@@ -140,13 +140,15 @@ def links(nodes: DataFrame, bucket: int = BUCKET) -> DataFrame:
                 rows.append((parent, len(ways), _signed(held)))
                 ways[len(ways)] = left
         bounded = 2 ** max(map(len, ways.values())) <= BUCKET
-        # At most 20 ** 3 narrow rows, whatever the input.
-        masks = spark.createDataFrame(rows, "parent int, way int, mask bigint")
-        keyed = level.join(F.broadcast(masks), "parent").select(
-            "way", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp"
-        )
-        if found:
-            keyed = keyed.distinct()
+        if not found:
+            ways_of = F.explode(F.array(*[
+                F.struct(F.lit(way).alias("way"), F.lit(mask).cast("bigint").alias("mask")) for _, way, mask in rows]))
+            keyed = level.select("fp", ways_of.alias("w")).select("w.way", "w.mask", "fp")
+        else:
+            # At most 20 ** 3 narrow rows, whatever the input.
+            masks = spark.createDataFrame(rows, "parent int, way int, mask bigint")
+            keyed = level.join(F.broadcast(masks), "parent").distinct()
+        keyed = keyed.select("way", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
         groups = checkpointed(keyed.groupBy("way", "key").agg(F.count("*").alias("n")).where("n > 1"))
         members = checkpointed(keyed.join(groups, ["way", "key"]))
         small = members if bounded else members.where(F.col("n") <= bucket)
