@@ -41,8 +41,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def to_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with round trip and parity verified."""
-    return sentencepiece_tokens.encode(docs)
+    """Token ids of every document with its place in the mix, round trip and parity verified.
+
+    Files are not read back in the order of their rows, so the mix is the order by
+    slot, offset and doc_id. Places depend on ids, sources and texts only.
+    """
+    placed = mixing.with_place(docs, ["doc_id", "text"])
+    return sentencepiece_tokens.encode(placed, others=("slot", "offset"))
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

@@ -178,3 +178,14 @@ def in_mix_order(
     placed = _placed(docs, docs.columns, weights, id_column, text_column, source_column,
                      temper, resolution, block_chars)
     return placed.orderBy("slot", "offset", "id").select("row.*")
+
+
+def with_place(
+    docs: DataFrame, columns: list[str], weights: dict | None = None, id_column: str = "doc_id",
+    text_column: str = "text", source_column: str = "source", temper: float = TEMPER,
+    resolution: int = RESOLUTION, block_chars: int = BLOCK_CHARS,
+) -> DataFrame:
+    """The given columns of every row with its slot and offset, which order the mix together with the id."""
+    placed = _placed(docs, columns, weights, id_column, text_column, source_column,
+                     temper, resolution, block_chars)
+    return placed.select("row.*", "slot", "offset")

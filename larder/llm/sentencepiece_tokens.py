@@ -297,26 +297,29 @@ def _encoder(data: bytes, threads: int) -> Callable:
                     pa.array([codec.decode(row) == t for row, t in zip(ids, some)]),
                     pa.array(equal, pa.bool_()),
                 ]
+                others = [c.slice(part.start, part.stop - part.start) for c in batch.columns[2:]]
                 yield pa.RecordBatch.from_arrays(
-                    arrays, ["id", "ids", "n_tokens", "n_unknown", "round_trip", "parity"])
+                    arrays + others,
+                    ["id", "ids", "n_tokens", "n_unknown", "round_trip", "parity", *batch.schema.names[2:]])
 
     return run
 
 
 def encode(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-    model_path: str = MODEL_PATH, threads: int = THREADS,
+    model_path: str = MODEL_PATH, threads: int = THREADS, others: tuple[str, ...] = (),
 ) -> DataFrame:
     """Ids of every whole text, with checks: id, ids, n_tokens, n_unknown, round_trip, parity.
 
     round_trip says whether the ids decode to the text, parity whether the
-    sentencepiece library gives the same ids.
+    sentencepiece library gives the same ids. Other columns named follow as they are.
     """
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"), *others)
     kind = rows.schema["id"].dataType.simpleString()
+    more = "".join(f", {n} {rows.schema[n].dataType.simpleString()}" for n in others)
     return rows.mapInArrow(
         _encoder(read_model(model_path), threads),
-        f"id {kind}, ids array<int>, n_tokens int, n_unknown int, round_trip boolean, parity boolean",
+        f"id {kind}, ids array<int>, n_tokens int, n_unknown int, round_trip boolean, parity boolean{more}",
     ).withColumnRenamed("id", id_column)
 
 

@@ -75,6 +75,22 @@ def test_each_stage_equals_its_operator(spark, steps):
         assert r.ids == reference.encode(texts[r.doc_id]) and r.parity and r.round_trip
 
 
+def test_the_order_of_the_mix_survives_writing_and_reading(steps):
+    _, found = steps
+    docs, out = found[3][0], found[-1][1]
+    order = [r.doc_id for r in mixing.in_mix_order(docs).collect()]
+    assert [r.doc_id for r in out.orderBy("slot", "offset", "doc_id").collect()] == order
+
+
+def test_run_gives_every_row_its_place_in_the_plan(spark, folder):
+    out = stored(corpus_pipeline.run(spark, folder))
+    source = {r.doc_id: r.source for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    holders = {}
+    for r in out.collect():
+        holders.setdefault(r.slot, set()).add(source[r.doc_id])
+    assert len(holders) > 1 and all(len(s) == 1 for s in holders.values())
+
+
 def test_run_gives_the_last_stage(spark, folder, steps):
     small = corpus_pipeline.run(spark, folder).collect()
     assert small and {"doc_id", "ids"} <= set(small[0].asDict())
