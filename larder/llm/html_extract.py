@@ -37,6 +37,8 @@ CONTAINERS = frozenset("article main".split())
 LEFT_OUT = frozenset(
     "nav footer aside form button select dialog menu svg object applet canvas audio video map head "
     "fieldset datalist".split())
+# Elements that may begin in a head; any other, and any text, ends an open head.
+IN_HEAD = frozenset("base link meta title style script noscript noframes template head".split())
 # An element that begins ends open elements of the second kind, up to one of the third.
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -150,6 +152,10 @@ def blocks(html: str) -> list[Block]:
             if stack[i].tag in bounds:
                 return
 
+    def end_head() -> None:
+        while stack[-1].tag == "head":
+            pop_to(len(stack) - 1)
+
     at = 0
     size = len(html)
     while at < size:
@@ -157,6 +163,8 @@ def blocks(html: str) -> list[Block]:
         stop = m.start() if m else size
         if stop > at:
             text = unescape(html[at:stop])
+            if stack[-1].tag == "head" and text.strip():
+                end_head()
             pieces.append(text)
             if inline_links:
                 linked += len(text.strip())
@@ -184,6 +192,8 @@ def blocks(html: str) -> list[Block]:
                 if tag == "p":
                     close_block()
             continue
+        if tag not in IN_HEAD:
+            end_head()
         if tag in RAW:
             end = re.compile(f"</{re.escape(tag)}(?=[\\s/>]|\\Z)", re.I).search(html, at)
             at = size if end is None else end.start()

@@ -34,6 +34,14 @@ def test_broken_markup_references_and_white_space():
     assert main_text("<div>" * 2000 + "deep." + "</div>" * 2000) == "deep."
 
 
+def test_an_omitted_end_of_the_head_does_not_lose_the_page():
+    head = "<html><head><meta charset=utf-8><title>T</title><style>p{}</style><link rel=x><script>var a</script>\n"
+    for start in ("<body>", "<body class='x'><div>", "<div>", "", "<article>", "<head><body>", "<b>"):
+        assert main_text(f"<!DOCTYPE html>{head}{start}<p>{LONG}</p><p>{LONG}") == f"{LONG}\n\n{LONG}", start
+    assert main_text(f"{head}{LONG}") == LONG
+    assert main_text(f"{head}</head><body><p>{LONG}") == LONG
+
+
 def test_nothing_to_extract():
     assert [main_text(h) for h in (None, "", " ", "<nav>menu</nav>", "<script>x", "<!--", "plain words")] == [
         "", "", "", "", "", "", "plain words"]
