@@ -30,6 +30,34 @@ def test_ticks_are_in_proportion_and_positive():
         mixing.ticks([0, 1])
 
 
+def test_exact_weights_of_many_and_of_tiny_sources_are_kept():
+    for weights in ([0.99999, 0.00001], [10_000.0] + [1.0] * 20_000):
+        shares = mixing.ticks(weights)
+        for w, n in zip(weights, shares):
+            assert abs(n / sum(shares) - w / sum(weights)) < 1e-9
+        blocks = [min(40_000, n) if i == 0 else 3 for i, n in enumerate(shares)]
+        done = 0
+        for i, k, release, slot, deadline in mixing.plan_of(shares, blocks):
+            assert release <= slot < deadline
+            done += i == 0
+            if done < blocks[0]:
+                assert abs(done - (slot + 1) * weights[0] / sum(weights)) < 1
+
+
+def test_the_targets_of_a_table_are_the_weights(spark):
+    rows = [(i, "a" * 100, "hot") for i in range(300)] + [(1000 + i, "a" * 10, f"s{i}") for i in range(20_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    weights = {"hot": 10_000.0} | {f"s{i}": 1.0 for i in range(20_000)}
+    hot = mixing.mixed(docs, weights, block_chars=100).where("source = 'hot'").orderBy("slot").collect()
+    assert abs(hot[0].source_ticks / hot[0].round_ticks - 1 / 3) < 1e-9
+    assert all(abs(r.block + 1 - (r.slot + 1) / 3) < 1 for r in hot)
+
+
+def test_more_sources_than_the_driver_holds_are_planned(spark):
+    docs = spark.range(100_500).selectExpr("id AS doc_id", "'ab' AS text", "concat('s', id) AS source")
+    assert mixing.mixed(docs).select("slot").distinct().count() == 100_500
+
+
 def source_table(spark):
     rng = random.Random(2)
     rows = []
