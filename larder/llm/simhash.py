@@ -201,14 +201,15 @@ def keep_one(
 ) -> DataFrame:
     """The rows of docs with one row left of each component, that of the smallest id.
 
-    Rows without an id come last and are told apart by a hash of their text; of
-    rows that share the kept id one stays.
+    Rows without an id come last; rows that share an id are told apart by a hash of
+    their text, and of those that share both one stays.
     """
     flag, number, tag = fresh(docs, "no_id", "id", "tag")
     keys = {
         flag: F.col(id_column).isNull(),
         number: F.coalesce(F.col(id_column), F.lit(0)),
-        tag: F.when(F.col(id_column).isNull(), F.xxhash64(text_column)).otherwise(F.lit(0)),
+        # Equal texts are in one component, so no two components keep the same key.
+        tag: F.xxhash64(text_column),
     }
     marked = stored(docs.select(*[c.alias(n) for n, c in keys.items()], fingerprint(F.col(text_column)).alias("fp")))
     least, _ = _linked(marked, F.struct(flag, number, tag), bucket)

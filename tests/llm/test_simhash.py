@@ -104,3 +104,11 @@ def test_keep_one_of_each_group_with_ties_nulls_and_clashes(spark):
     assert sorted(got, key=str) == sorted([3, None, 8, 7], key=str)
     empty = spark.createDataFrame([], docs.schema)
     assert simhash.keep_one(empty).collect() == [] == simhash.near_duplicates(empty).collect()
+
+
+def test_unrelated_texts_that_share_an_id_are_all_kept(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(80)) for x in ("north", "south", "east"))
+    rows = [(1, a), (1, b), (1, b + " "), (2, a), (3, c), (3, a), (3, c)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.text.strip()) for r in simhash.keep_one(docs).collect())
+    assert got == sorted([(1, a), (1, b), (3, c)])
