@@ -4,13 +4,14 @@ Only DataFrame functions run on the rows. E-mail addresses, IP addresses, card a
 phone numbers are found by patterns with checks; they are the protected entities,
 one for each distinct value.
 
-Words near an entity may reveal it. Over the whole corpus, p(t) is the share of all
-word occurrences that are t, p(e) the share that lies near a mention of e, and
-p(e|t) the share of t's occurrences that lies near e. The information that t discloses
-about e is log2(p(e|t) / p(e)), of at most -log2 p(e). A word whose disclosure
-reaches a fraction of that most, in enough different surroundings, is sanitised
-near e: a capitalised word is generalised to a name, one with digits to a number,
-any other is removed. Copies of one passage count as one surrounding.
+Words beside an entity may reveal it. Over the distinct texts of the corpus, p(e) is the
+share that holds the entity e, and p(e|t) the share that holds e among those that hold
+the word t, smoothed by one text more that holds t without e. The information that t
+discloses about e is log2(p(e|t) / p(e)), of at most -log2 p(e). A word whose
+disclosure reaches a fraction of that most for any entity is sanitised wherever it
+occurs, in all texts: a capitalised word is generalised to a name, one with digits to
+a number, any other is removed. Copies of one text count once. Every entity is judged,
+however rare: in a large corpus one text is enough for a word that occurs nowhere else.
 
 The patterns are possessive and start only where a run starts, so that long runs
 cost linear time and no stack; they match what the plain forms would.
@@ -39,9 +40,7 @@ CARD_DIGITS, PHONE_DIGITS = (14, 19), (10, 15)
 
 TERM = r"\p{L}[\p{L}\p{N}]{2,}+"
 TERM_KINDS = ("name", "number", "term")
-NEAR_CHARS = 60
 DISCLOSURE = 0.9
-SURROUNDINGS = 3
 
 
 # --- base kinds -----------------------------------------------------------
@@ -85,107 +84,101 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
-# --- words near entities --------------------------------------------------
-
-def _near(text: Column, span: Column) -> Column:
-    """Words on both sides of a span, cut at white space, with their positions."""
-    start, end = span["start"], span["end"]
-    left = F.substring(text, F.greatest(start - NEAR_CHARS, F.lit(0)) + 1, F.least(start, F.lit(NEAR_CHARS)))
-    left = F.when(start > NEAR_CHARS, F.regexp_replace(left, r"\A\S*+", "")).otherwise(left)
-    right = F.substring(text, end + 1, F.lit(NEAR_CHARS))
-    right = F.when(F.length(right) == NEAR_CHARS, F.regexp_replace(right, r"\S*\z", "")).otherwise(right)
-    return F.struct(
-        F.xxhash64(span["kind"], F.substring(text, start + 1, end - start)).alias("entity"),
-        F.xxhash64(left, right).alias("around"),
-        F.concat(
-            sp.match_spans(left, TERM, offset=start - F.length(left)), sp.match_spans(right, TERM, offset=end)
-        ).alias("words"),
-    )
+# --- words that disclose entities -----------------------------------------
 
+def _blanked(text: Column, spans: Column) -> Column:
+    """The text with spaces in place of its spans, which are in order of starts."""
+    def step(state: Column, span: Column) -> Column:
+        open_from = F.greatest(state["at"], span["start"])
+        before = F.substring(text, state["at"] + 1, F.greatest(span["start"] - state["at"], F.lit(0)))
+        blank = F.repeat(F.lit(" "), F.greatest(span["end"] - open_from, F.lit(0)))
+        return F.struct(
+            F.greatest(state["at"], span["end"]).alias("at"),
+            F.concat(state["out"], F.array(F.concat(before, blank))).alias("out"),
+        )
 
-def _word(text: Column, span: Column) -> Column:
-    word = F.substring(text, span["start"] + 1, span["end"] - span["start"])
-    kind = (
-        F.when(word.rlike(r"\p{N}"), "number").when(word.rlike(r"\A\p{Lu}"), "name").otherwise("term")
-    )
-    return F.struct(span["start"].alias("start"), span["end"].alias("end"), kind.alias("kind"),
-                    F.xxhash64(F.lower(word)).alias("term"))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, start, step, lambda state: F.concat(
+        F.array_join(state["out"], ""), F.substring(text, state["at"] + 1, F.length(text)))))
 
 
-def _found(docs: DataFrame, id_column: str, text_column: str, with_text: bool) -> DataFrame:
-    """Stored: row number, id, base spans, and the words near each entity."""
-    text = text_of(text_column)
-    based = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"), text.alias("text"),
-        *[c.alias(k) for k, c in base_spans(text).items()],
-    )
-    # The words of an entity lie outside of all base spans.
-    every = sp.in_order({k: F.col(k) for k in KINDS})
-    based = based.withColumn("base", every)
+def _term(word: Column) -> Column:
+    return F.xxhash64(F.lower(word))
 
-    def words_of(span: Column) -> Column:
-        near = _near(F.col("text"), span)
-        free = F.filter(near["words"], lambda w: ~F.exists(
-            F.col("base"), lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
-        return F.struct(near["entity"].alias("entity"), near["around"].alias("around"),
-                        F.transform(free, lambda w: _word(F.col("text"), w)).alias("words"))
 
-    near = F.when(F.size("base") > 0, F.transform("base", words_of))
-    return stored(based.select(
-        "row", "id", *(["text"] if with_text else []), *KINDS, near.alias("near")))
+def _terms(text: Column, spans: Column) -> Column:
+    """The different words outside of the base spans, as hashes."""
+    words = F.regexp_extract_all(_blanked(text, spans), F.lit(TERM), F.lit(0))
+    return F.array_distinct(F.transform(words, _term))
 
 
-def term_counts(docs: DataFrame, text_column: str = "text") -> DataFrame:
-    """How often each word occurs in all texts: columns term (a hash), n."""
-    words = F.regexp_extract_all(F.lower(text_of(text_column)), F.lit(TERM), F.lit(0))
-    return docs.select(F.explode(words).alias("word")).groupBy(F.xxhash64("word").alias("term")).agg(
-        F.count("*").alias("n"))
+def _found(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """Stored: row number, id, text, hash of the text, base spans by kind and all in order."""
+    text = text_of(text_column)
+    based = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"), text.alias("text"),
+        F.xxhash64(text).alias("context"), *[c.alias(k) for k, c in base_spans(text).items()],
+    )
+    return stored(based.withColumn("base", sp.in_order({k: F.col(k) for k in KINDS})))
 
 
-def disclosing(
-    mentions: DataFrame, counts: DataFrame, disclosure: float = DISCLOSURE, surroundings: int = SURROUNDINGS,
-) -> DataFrame:
-    """Pairs of entity and term where the term discloses the entity.
+def disclosing(found: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
+    """Stored: pairs of entity and term where the term discloses the entity.
 
-    Takes word mentions (entity, around, term) and the corpus counts of terms. Pairs are
-    counted before they move; entities and pairs only meet by their keys, in
-    joins that can split a frequent entity.
+    Entities that occur in the same texts have the same terms and are judged as one, by
+    the least of them. A term in more texts than any entity beside it could make up for
+    is left out before pairs are formed. Neither loses a term.
     """
-    counts = checkpointed(counts)
-    total = counts.agg(F.sum("n")).first()[0] or 1
-    pairs = checkpointed(
-        mentions.groupBy("entity", "term", "around").agg(F.count("*").alias("n"))
-        .groupBy("entity", "term").agg(F.sum("n").alias("both"), F.count("*").alias("places"))
-    )
-    entities = checkpointed(pairs.groupBy("entity").agg(F.sum("both").alias("near")))
-    chance = F.col("near") / total
-    gained = F.log2(F.least(F.col("both") / F.col("n"), F.lit(1.0)) / chance)
-    return (
-        pairs.where(F.col("places") >= surroundings)
-        .join(entities, "entity").join(counts, "term")
-        .where(gained >= disclosure * -F.log2(chance))
-        .select("entity", "term")
+    once = stored(found.groupBy("context").agg(F.min("row").alias("row")))
+    total = max(1, once.count())
+    rows = found.select("row", "context", "text", "base").join(once.select("row"), "row", "left_semi")
+    terms = F.explode(_terms(F.col("text"), F.col("base"))).alias("term")
+    counts = checkpointed(rows.select(terms).groupBy("term").agg(F.count("*").alias("n")))
+
+    own = rows.where(F.size("base") > 0)
+    value = lambda s: F.xxhash64(
+        s["kind"], F.substring(F.col("text"), s["start"] + 1, s["end"] - s["start"]))
+    held = checkpointed(own.select("context", F.explode(F.array_distinct(F.transform("base", value))).alias("entity")))
+    entities = held.groupBy("entity").agg(
+        F.count("*").alias("texts"), F.sum(F.xxhash64("context").cast("decimal(38,0)")).alias("where"))
+    judged = entities.groupBy("texts", "where").agg(F.min("entity").alias("entity")).select("entity", "texts")
+    held = checkpointed(held.join(judged, "entity"))
+
+    # both / (n + 1) must reach p(e) ** (1 - disclosure), and both is at most the entity's texts.
+    most = F.pow(F.col("texts"), F.lit(disclosure)) * total ** (1 - disclosure)
+    widest = held.groupBy("context").agg(F.max(most).alias("widest"))
+    few = own.select("context", terms).join(counts, "term").join(widest, "context").where("n + 1 <= widest")
+    pairs = (
+        few.select("context", "term", "n").join(held, "context").where(F.col("n") + 1 <= most)
+        .groupBy("entity", "term").agg(F.count("*").alias("both"), F.first("n").alias("n"), F.first("texts").alias("texts"))
     )
+    chance = F.col("texts") / total
+    gained = F.log2(F.col("both") / (F.col("n") + 1) / chance)
+    return stored(pairs.where(gained >= disclosure * -F.log2(chance)).select("entity", "term"))
 
 
-def _with_terms(docs, id_column, text_column, disclosure, surroundings, with_text) -> DataFrame:
+def _with_terms(docs: DataFrame, id_column: str, text_column: str, disclosure: float) -> DataFrame:
     """The found table with all spans of each row in the column `every`."""
-    found = _found(docs, id_column, text_column, with_text)
-    mentions = (
-        found.where("near is not null").select("row", F.explode("near").alias("e"))
-        .select("row", "e.entity", "e.around", F.explode("e.words").alias("w"))
-        .select("row", "entity", "around", "w.*")
+    found = _found(docs, id_column, text_column)
+    hidden = stored(disclosing(found, disclosure).select("term").distinct())
+    text, base = F.col("text"), F.col("base")
+    hits = stored(
+        found.select("row", F.explode(_terms(text, base)).alias("term")).join(hidden, "term", "left_semi")
+        .groupBy("row").agg(F.collect_list("term").alias("hidden"))
     )
-    pairs = checkpointed(disclosing(mentions, term_counts(docs, text_column), disclosure, surroundings))
-    terms = (
-        mentions.join(pairs, ["entity", "term"], "left_semi")
-        .groupBy("row").agg(F.collect_set(F.struct("start", "end", "kind")).alias("terms"))
-    )
-    base = {k: F.col(k) for k in KINDS}
+
+    def kind(span: Column) -> Column:
+        word = F.substring(text, span["start"] + 1, span["end"] - span["start"])
+        of = F.when(word.rlike(r"\p{N}"), "number").when(word.rlike(r"\A\p{Lu}"), "name").otherwise("term")
+        return F.struct(span["start"].alias("start"), span["end"].alias("end"), of.alias("kind"))
+
+    spans = sp.match_spans(_blanked(text, base), TERM, lambda word: F.array_contains("hidden", _term(word)))
+    terms = found.select("row", "text", "base").join(hits, "row").select("row", F.transform(spans, kind).alias("terms"))
+    by_kind = {k: F.col(k) for k in KINDS}
     extra = {k: F.coalesce(F.transform(
         F.filter("terms", _is(k)), lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"))
     ), F.array().cast(sp.SPAN_TYPE)) for k in TERM_KINDS}
-    return found.join(terms, "row", "left").withColumn("every", sp.in_order(base | extra))
+    return found.join(terms, "row", "left").withColumn("every", sp.in_order(by_kind | extra))
 
 
 def _is(kind: str):
@@ -194,10 +187,10 @@ def _is(kind: str):
 
 def scan(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-    disclosure: float = DISCLOSURE, surroundings: int = SURROUNDINGS,
+    disclosure: float = DISCLOSURE,
 ) -> DataFrame:
     """Personal data of every text: counts and digest of the base spans, and all spans."""
-    found = _with_terms(docs, id_column, text_column, disclosure, surroundings, False)
+    found = _with_terms(docs, id_column, text_column, disclosure)
     return found.select(
         F.col("id").alias(id_column), *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS],
         F.sha2(sp.as_text(sp.in_order({k: F.col(k) for k in KINDS})), 256).alias("base_sha256"),
@@ -207,10 +200,10 @@ def scan(
 
 def sanitised(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-    disclosure: float = DISCLOSURE, surroundings: int = SURROUNDINGS,
+    disclosure: float = DISCLOSURE,
 ) -> DataFrame:
     """Id and text with entities, names and numbers generalised and other disclosing words removed."""
-    found = _with_terms(docs, id_column, text_column, disclosure, surroundings, True)
+    found = _with_terms(docs, id_column, text_column, disclosure)
     mask = lambda kind: F.when(kind == "term", F.lit("")).otherwise(
         F.concat(F.lit("<"), kind, F.lit(">")))
     return found.select(F.col("id").alias(id_column), sp.replaced(F.col("text"), F.col("every"), mask).alias(text_column))

@@ -73,6 +73,24 @@ def test_a_disclosing_word_is_sanitised_and_common_ones_stay(spark):
     assert clean[100] == text[100]
 
 
+def test_a_rare_name_beside_an_address_in_two_texts_is_sanitised_everywhere(spark):
+    far = " ".join(["common words of every text"] * 30)
+    rows = [(i, f"Barnaby number {'xyz' * (i + 1)} wrote. {far}. Mail bar@mail.example please") for i in range(2)]
+    rows += [(50, f"mail old@mail.example or Quentin. {far}")]
+    rows += [(100 + i, f"number wrote please mail {far} {'klm' * (i + 1)}") for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    text = {r.doc_id: r.text for r in docs.collect()}
+    hidden = {r.doc_id: {text[r.doc_id][int(s.split(":")[1]):int(s.split(":")[2])] for s in r.spans.split(",") if s}
+              for r in pii.scan(docs).collect()}
+    assert all({"Barnaby", "bar@mail.example"} <= hidden[i] for i in range(2))
+    assert hidden[50] == {"old@mail.example", "Quentin"} | ({"old"} & hidden[50])
+    assert not {"common", "words", "number", "wrote", "please"} & set().union(*hidden.values())
+    more = docs.union(spark.createDataFrame([(9999, "so Barnaby came alone " + far)], docs.schema))
+    spans = pii.scan(more.union(spark.createDataFrame(
+        [(2000 + i, f"Barnaby again at bar@mail.example {far} {'npq' * (i + 1)}") for i in range(9)], docs.schema)))
+    assert spans.where("doc_id = 9999").first().spans == "name:3:10"
+
+
 def test_copies_of_one_passage_are_one_surrounding(spark):
     docs = spark.createDataFrame(
         [(i, "ask Barnaby at bar@mail.example now") for i in range(50)] + [(99, "other words are here as well")],
