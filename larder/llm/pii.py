@@ -41,6 +41,7 @@ CARD_DIGITS, PHONE_DIGITS = (14, 19), (10, 15)
 TERM = r"\p{L}[\p{L}\p{N}]{2,}+"
 TERM_KINDS = ("name", "number", "term")
 DISCLOSURE = 0.9
+CELLS = 1 << 20
 
 
 # --- base kinds -----------------------------------------------------------
@@ -122,6 +123,16 @@ def _found(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return stored(based.withColumn("base", sp.in_order({k: F.col(k) for k in KINDS})))
 
 
+def _among(rows: DataFrame, key: str, keys: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The rows whose key shares a cell with one of the keys, or with how="left_anti" the others.
+
+    A broadcast of at most CELLS numbers, which spares most rows the exact join after it.
+    """
+    cell = F.pmod(F.xxhash64(key), F.lit(CELLS)).cast("int")
+    cells = keys.select(cell.alias("_cell")).distinct()
+    return rows.withColumn("_cell", cell).join(F.broadcast(cells), "_cell", how).drop("_cell")
+
+
 def disclosing(found: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
     """Stored: pairs of entity and term where the term discloses the entity.
 
@@ -129,16 +140,24 @@ def disclosing(found: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
     the least of them. A term in more texts than any entity beside it could make up for
     is left out before pairs are formed. Neither loses a term.
     """
-    once = stored(found.groupBy("context").agg(F.min("row").alias("row")))
-    total = max(1, once.count())
-    rows = found.select("row", "context", "text", "base").join(once.select("row"), "row", "left_semi")
+    contexts = checkpointed(found.groupBy("context").agg(F.min("row").alias("row"), F.count("*").alias("copies")))
+    total = max(1, contexts.count())
+    # Only texts that may have copies move to tell the first of each from the others.
+    copied = contexts.where("copies > 1")
+    first = copied.select("row")
+    rows = found.select("row", "context", "text", "base")
     terms = F.explode(_terms(F.col("text"), F.col("base"))).alias("term")
-    counts = checkpointed(rows.select(terms).groupBy("term").agg(F.count("*").alias("n")))
+    alone = _among(rows, "context", copied, "left_anti").select(terms)
+    maybe = _among(rows, "context", copied)
+    others = maybe.join(copied.select("context"), "context", "left_anti").select(terms)
+    firsts = _among(rows, "row", first).join(first, "row", "left_semi").select(terms)
+    counts = checkpointed(alone.union(others).union(firsts).groupBy("term").agg(F.count("*").alias("n")))
 
     own = rows.where(F.size("base") > 0)
     value = lambda s: F.xxhash64(
         s["kind"], F.substring(F.col("text"), s["start"] + 1, s["end"] - s["start"]))
-    held = checkpointed(own.select("context", F.explode(F.array_distinct(F.transform("base", value))).alias("entity")))
+    held = checkpointed(
+        own.select("context", F.explode(F.array_distinct(F.transform("base", value))).alias("entity")).distinct())
     entities = held.groupBy("entity").agg(
         F.count("*").alias("texts"), F.sum(F.xxhash64("context").cast("decimal(38,0)")).alias("where"))
     judged = entities.groupBy("texts", "where").agg(F.min("entity").alias("entity")).select("entity", "texts")
@@ -147,7 +166,9 @@ def disclosing(found: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
     # both / (n + 1) must reach p(e) ** (1 - disclosure), and both is at most the entity's texts.
     most = F.pow(F.col("texts"), F.lit(disclosure)) * total ** (1 - disclosure)
     widest = held.groupBy("context").agg(F.max(most).alias("widest"))
-    few = own.select("context", terms).join(counts, "term").join(widest, "context").where("n + 1 <= widest")
+    few = (
+        own.select("context", terms).distinct().join(counts, "term").join(widest, "context").where("n + 1 <= widest")
+    )
     pairs = (
         few.select("context", "term", "n").join(held, "context").where(F.col("n") + 1 <= most)
         .groupBy("entity", "term").agg(F.count("*").alias("both"), F.first("n").alias("n"), F.first("texts").alias("texts"))
@@ -163,8 +184,8 @@ def _with_terms(docs: DataFrame, id_column: str, text_column: str, disclosure: f
     hidden = stored(disclosing(found, disclosure).select("term").distinct())
     text, base = F.col("text"), F.col("base")
     hits = stored(
-        found.select("row", F.explode(_terms(text, base)).alias("term")).join(hidden, "term", "left_semi")
-        .groupBy("row").agg(F.collect_list("term").alias("hidden"))
+        _among(found.select("row", F.explode(_terms(text, base)).alias("term")), "term", hidden)
+        .join(hidden, "term", "left_semi").groupBy("row").agg(F.collect_list("term").alias("hidden"))
     )
 
     def kind(span: Column) -> Column:
@@ -173,7 +194,8 @@ def _with_terms(docs: DataFrame, id_column: str, text_column: str, disclosure: f
         return F.struct(span["start"].alias("start"), span["end"].alias("end"), of.alias("kind"))
 
     spans = sp.match_spans(_blanked(text, base), TERM, lambda word: F.array_contains("hidden", _term(word)))
-    terms = found.select("row", "text", "base").join(hits, "row").select("row", F.transform(spans, kind).alias("terms"))
+    some = _among(found.select("row", "text", "base"), "row", hits)
+    terms = some.join(hits, "row").select("row", F.transform(spans, kind).alias("terms"))
     by_kind = {k: F.col(k) for k in KINDS}
     extra = {k: F.coalesce(F.transform(
         F.filter("terms", _is(k)), lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"))
