@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.llm import (
-    html_extract, mixing, pii, pu_classifier, quality_rules, secret_scan, sentencepiece_tokens, simhash, vptree, warc,
+    filter_audit, html_extract, importance_resampling, license_scan, mixing, pii, pu_classifier, quality_rules, secret_scan,
+    sentencepiece_tokens, simhash, vptree, warc,
 )
 from larder.llm.common import read
 
@@ -56,9 +57,22 @@ def op10_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return vptree.nearest(vectors, vectors.where(F.col("vec_id") % vptree.QUERY_EVERY == 0))
 
 
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return importance_resampling.resample(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+def op12_filter_interactions(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+def op13_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(read(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_secret_scans, op2_sentencepiece_encoding, op3_pii_sanitisation, op4_mixing_sources, op5_html_extraction,
         op6_quality_rules, op7_quality_classifier, op8_warc, op9_simhash_near_dedup, op10_nearest_neighbours,
+        op11_importance_resampling, op12_filter_interactions, op13_license_scans,
     )
     return {f.__name__: f for f in found}
