@@ -12,10 +12,10 @@ are one number, and documents are counted by part and flags before any order is
     B  under 80 distinct words in 100       E  the text of a smaller id
     C  over 10 capital letters in 100 characters
 
-A word enters the global dictionary once a shard, however often it stands there, so
-what is shuffled is far less than the words. Ids are given within hash ranges of
-words: place in the range times the number of ranges, plus the range; no step numbers all
-words. Texts that are shared by more than one in 2,000 documents are met by a broadcast
+A word enters the global dictionary once a shard, however often it stands there, and a
+shard's words move as a few arrays, one for each range of a checksum. Ids are given within
+a range: place in its sorted words times the number of ranges, plus the range; no step
+numbers all words, and a task that runs again gives the same ids. Texts that are shared by more than one in 2,000 documents are met by a broadcast
 of at most 2,000 rows, all others by a shuffle.
 
 The removals of a filter over all 120 orders need no enumeration: of the orders, a
@@ -33,6 +33,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from itertools import permutations
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,6 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from larder.llm.common import stored, text_of
 
@@ -49,9 +49,9 @@ FEWEST_WORDS = 100
 LEAST_DISTINCT = 80
 MOST_CAPITALS = 10
 MARKS = "[#$%&*|]"
-SHARD_BYTES = 32_000_000
-RANGE_WORDS = 500_000
-LEAST_RANGES = 64
+SHARD_BYTES = 8_000_000
+RANGE_WORDS = 1_000_000
+LEAST_RANGES = 16
 HOT_SHARE = 2_000
 
 ROW = ("doc_id", "part", "a", "b", "capitals", "marked")
@@ -74,8 +74,12 @@ def _one(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
+def _checksums(words: pa.Array) -> np.ndarray:
+    return np.fromiter(map(crc32, words.cast(pa.binary()).to_pylist()), np.int64, len(words))
+
+
 def _shard(part: pa.RecordBatch) -> dict[str, pa.Array]:
-    """One shard: the rows' own columns, its words, and its matrix in compressed rows."""
+    """One shard: the rows' own columns, its words by checksum, and its matrix in compressed rows."""
     text, n = part["text"], part.num_rows
     split = pc.ascii_split_whitespace(text)
     rows = np.repeat(np.arange(n, dtype=np.int64), pc.list_value_length(split).to_numpy(zero_copy_only=False))
@@ -83,14 +87,17 @@ def _shard(part: pa.RecordBatch) -> dict[str, pa.Array]:
     filled = pc.greater(pc.binary_length(words), 0)
     encoded = words.filter(filled).dictionary_encode()
     rows, width = rows[filled.to_numpy(zero_copy_only=False)], max(1, len(encoded.dictionary))
-    cells, data = np.unique(rows * width + encoded.indices.to_numpy(), return_counts=True)
+    order = np.argsort(_checksums(encoded.dictionary), kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    cells, data = np.unique(rows * width + place[encoded.indices.to_numpy()], return_counts=True)
     indptr = np.searchsorted(cells, np.arange(n + 1, dtype=np.int64) * width)
     capitals = pc.greater(
         pc.multiply(pc.count_substring_regex(text, "[A-Z]").cast(pa.int64()), 100),
         pc.multiply(pc.utf8_length(text).cast(pa.int64()), MOST_CAPITALS))
     own = {c: part[c] for c in ROW[:4]} | {"capitals": capitals, "marked": pc.match_substring_regex(text, MARKS)}
     return {c: _one(v) for c, v in own.items()} | {
-        "words": _one(encoded.dictionary), "indptr": _one(pa.array(indptr.astype(np.int32))),
+        "words": _one(encoded.dictionary.take(pa.array(order))), "indptr": _one(pa.array(indptr.astype(np.int32))),
         "indices": _one(pa.array((cells % width).astype(np.int32))), "data": _one(pa.array(data.astype(np.int32))),
     }
 
@@ -122,13 +129,34 @@ def _shard_column(values: pa.Array) -> pa.Array:
 
 
 def global_ids(shards: DataFrame) -> DataFrame:
-    """For each word of each shard (shard, at) its id in the dictionary of all shards."""
+    """The ids of a shard's words in the dictionary of all shards, in pieces that begin at `start`."""
     entries = shards.agg(F.sum(F.size("words"))).first()[0] or 0
     ranges = max(LEAST_RANGES, -(-entries // RANGE_WORDS))
-    words = shards.select("shard", F.posexplode("words").alias("at", "word")).withColumn(
-        "range", F.pmod(F.xxhash64("word"), F.lit(ranges)))
-    place = F.dense_rank().over(Window.partitionBy("range").orderBy("word")) - 1
-    return words.select("shard", "at", (place * ranges + F.col("range")).alias("id"))
+    edges = (np.arange(ranges + 1, dtype=np.int64) << 32) // ranges
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                words = batch["words"].slice(i, 1).flatten()
+                at = np.searchsorted(_checksums(words), edges)
+                held = np.flatnonzero(np.diff(at))
+                lists = pa.ListArray.from_arrays(pa.array(np.append(at[held], at[-1]), pa.int32()), words)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(held), pa.repeat(batch["shard"][i], len(held)), pa.array(at[held], pa.int32()), lists],
+                    names=["range", "shard", "start", "words"])
+
+    def encode(key: tuple, pieces: pa.Table) -> pa.Table:
+        lists = pieces["words"].combine_chunks()
+        encoded = lists.flatten().dictionary_encode()
+        sorted_place = np.empty(len(encoded.dictionary), np.int64)
+        sorted_place[pc.sort_indices(encoded.dictionary).to_numpy()] = np.arange(len(encoded.dictionary))
+        ids = sorted_place[encoded.indices.to_numpy()] * ranges + key[0].as_py()
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
+        return pa.table({"shard": pieces["shard"], "start": pieces["start"],
+                         "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))})
+
+    pieces = shards.select("shard", "words").mapInArrow(cut, "range long, shard long, start int, words array<string>")
+    return pieces.groupBy("range").applyInArrow(encode, "shard long, start int, ids array<long>")
 
 
 def matrix(shards: DataFrame) -> DataFrame:
@@ -138,8 +166,7 @@ def matrix(shards: DataFrame) -> DataFrame:
         T.StructField("indices", T.ArrayType(T.LongType())) if f.name == "indices" else f for f in own.schema])
 
     def encode(shard: pa.Table, ids: pa.Table) -> pa.Table:
-        known = np.empty(ids.num_rows, np.int64)
-        known[ids["at"].to_numpy()] = ids["id"].to_numpy()
+        known = ids.sort_by("start")["ids"].combine_chunks().flatten().to_numpy()
         local = shard["indices"].combine_chunks().flatten().to_numpy()
         columns = {f: _one(pa.array(known[local])) if f == "indices" else shard[f] for f in shard.column_names}
         return pa.table(columns)
