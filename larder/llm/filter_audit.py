@@ -59,10 +59,10 @@ ROW = ("doc_id", "part", "a", "b", "capitals", "marked")
 
 # --- document-term matrix -------------------------------------------------
 
-def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+def _parts(batch: pa.RecordBatch, most_bytes: int) -> Iterator[pa.RecordBatch]:
     """A batch in parts of bounded bytes of text, one row at least."""
     size = np.cumsum(pc.binary_length(batch["text"]).to_numpy(), dtype=np.int64)
-    part = (size - 1) // SHARD_BYTES
+    part = (size - 1) // most_bytes
     starts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for start, end in zip(starts, starts[1:]):
         if end > start:
@@ -104,6 +104,7 @@ def _shard(part: pa.RecordBatch) -> dict[str, pa.Array]:
 
 def local_shards(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", part_column: str = "lang",
+    shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
     """Shards with dictionaries of their own, one a row, stored."""
     text = text_of(text_column)
@@ -117,7 +118,7 @@ def local_shards(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _parts(batch):
+            for part in _parts(batch, shard_bytes):
                 yield pa.RecordBatch.from_pydict({c: _shard_column(v) for c, v in _shard(part).items()})
 
     return stored(rows.mapInArrow(run, schema).withColumn("shard", F.monotonically_increasing_id()))

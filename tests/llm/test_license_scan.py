@@ -1,0 +1,91 @@
+from __future__ import annotations
+
+import re
+
+from larder.llm import license_scan as m
+
+WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = str.maketrans(m.UPPER, m.LOWER)
+
+
+def brute(text):
+    """The whole result of a text by loops over its words."""
+    words = WORD.findall((text or "").translate(LOWER))
+    places = {label: [i for i in range(len(words)) if words[i:i + len(p.split())] == p.split()] for p, label in m.PHRASES.items()}
+    every = sorted(i for found in places.values() for i in found)
+    base = {label for label, found in places.items() if found}
+    own, best = set(), 0.0
+    for label, passage in m.TEMPLATES:
+        runs = m.voting_runs(passage)
+        asked = len({at + k for at, _ in runs for k in range(m.RUN)})
+        diagonals = {}
+        for i in range(len(words) - m.RUN + 1):
+            for at, run in runs:
+                if words[i:i + m.RUN] == run:
+                    diagonals.setdefault(i - at, []).append(at)
+        covered, last = set(), None
+        for diagonal in sorted(diagonals):
+            if last is not None and diagonal - last > m.APART:
+                covered = set()
+            covered |= {at + k for at in diagonals[diagonal] for k in range(m.RUN)}
+            last, share = diagonal, len(covered) / asked
+            best = max(best, share)
+            if share >= (1.0 if asked <= m.SHORT_NOTICE else m.LONG_SHARE):
+                own.add(label)
+    return (len(words), len(every), every[0] if every else None, every[-1] if every else None,
+            ",".join(sorted(base)), ",".join(sorted(base | own)), 1.0 if base else best)
+
+
+def run(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [tuple(r)[1:] for r in m.scan(docs).orderBy("doc_id").collect()]
+
+
+MIT = next(p for label, p in m.TEMPLATES if label == "mit" and len(p) > 100)
+BSD = [p for label, p in m.TEMPLATES if label == "bsd"]
+
+
+def test_equals_brute_force_on_odd_texts(spark):
+    texts = [
+        None, "", "  \n", "one", "cc by", "CC-BY", "ccby", "cc\nby cc by", "all rights reserved all rights reserved", "ALL  Rights, reserved.",
+        "general public license", "general public licence", "cc", "public license general", "on an as is",
+        "Released under the MIT License.", "released under the MIT licence", "Licensed under CC BY-NC 4.0.", "licensed under cc by sa 4 0",
+        "This work is licensed under the GNU General Public License, version 3.", "licensed under the apache license version 2",
+        "x " * 50_000 + "Released under the MIT License " * 3, "Released under the MIT License. " * 500, MIT, MIT.replace("\n", " ") * 2,
+        "café ÉK all rights reserved", "z" * 300_000, "İ general\tpublic_license 7 all-rights/reserved",
+    ]
+    assert run(spark, texts) == [brute(t) for t in texts]
+
+
+def test_edited_passages_keep_their_label_and_versions_are_told_apart(spark):
+    words = MIT.split()
+    put_in = " ".join(words[:30] + ["and", "its", "parts"] + words[30:])
+    left_out = " ".join(words[:20] + words[24:])
+    half = " ".join(words[: len(words) // 2])
+    texts = [put_in, left_out, half, "licensed under the GNU General Public License, version 2", " ".join(BSD), "to any person of the Software"]
+    found = run(spark, texts)
+    assert found == [brute(t) for t in texts]
+    assert [f[5] for f in found] == ["mit", "mit", "", "gpl,gpl-2.0", "bsd", ""]
+    assert 0.8 <= found[1][6] < 1.0 and 0.3 < found[2][6] < 0.8
+
+
+def test_repeats_null_ids_empty_tables_and_clashing_columns(spark):
+    docs = spark.createDataFrame(
+        [(1, MIT, 1, "w"), (1, MIT, 1, "w"), (None, MIT, 1, "w"), (2, "plain", 1, "w")], "doc_id long, text string, uid int, words string")
+    found = m.scan(docs).collect()
+    assert sorted(str(r["doc_id"]) for r in found) == ["1", "1", "2", "None"]
+    assert [r["labels"] for r in found if r["doc_id"] != 2] == ["mit"] * 3
+    assert m.scan(docs.limit(0)).count() == 0
+
+
+def test_anchors_and_literal_table_miss_no_run(spark):
+    anchors = set(m.anchors())
+    assert all(anchors & set(words) for _, p in m.TEMPLATES for _, words in m.voting_runs(p))
+    pieces = [" ".join(words) for _, p in m.TEMPLATES for _, words in m.voting_runs(p)]
+    assert all(score > 0 for *_, score in run(spark, pieces))
+
+
+def test_main_path_has_no_python(spark):
+    docs = spark.createDataFrame([(1, MIT)], "doc_id long, text string")
+    plan = m.scan(docs)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
