@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.numeric import log1p, nan_to_null, present
@@ -197,24 +197,27 @@ LABELS = {
 }
 
 
-def _pearson(a: Column, b: Column) -> Column:
-    """Pairwise-complete correlation, NULL when a side is constant."""
-    return nan_to_null(F.corr(a, b))
-
-
 def correlation(features: DataFrame, names=CORRELATED) -> DataFrame:
     """Lower triangle of the correlation matrix, one row per pair of features.
 
-    All pairs are aggregates of one pass; the single row of results is then
-    spread to one row per pair.
+    A row gives its values once for every pair, null where a side is missing, and one
+    grouped aggregate holds the centred moments of all pairs; tasks merge theirs before
+    the exchange, so what moves is a row per pair and task. A pair with a constant side,
+    or without a common row, is NULL.
     """
     names = present(features, names)
-    value = {c: F.col(c).cast("double") for c in names}
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[: i + 1]]
-    wide = features.agg(*[_pearson(value[a], value[b]).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-    cells = F.array(*[
-        F.struct(F.lit(LABELS.get(a, a)).alias("feature"), F.lit(LABELS.get(b, b)).alias("other"),
-                 F.col(f"p{i}").alias("corr"))
-        for i, (a, b) in enumerate(pairs)
-    ])
-    return wide.select(F.explode(cells).alias("cell")).select("cell.*")
+    pairs = [(i, j) for i in range(len(names)) for j in range(i + 1)]
+    values = F.array(*[nan_to_null(F.col(c)) for c in names])
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in pairs])
+    each = features.select(values.alias("values"), F.explode(cells).alias("cell")).select(
+        "cell.*", F.get("values", F.col("cell.i")).alias("a"), F.get("values", F.col("cell.j")).alias("b"))
+    both = F.col("a").isNotNull() & F.col("b").isNotNull()
+    moments = each.select("i", "j", F.when(both, F.col("a")).alias("a"), F.when(both, F.col("b")).alias("b")).groupBy(
+        "i", "j").agg(F.covar_pop("a", "b").alias("ab"), F.var_pop("a").alias("aa"), F.var_pop("b").alias("bb"))
+    spread = F.sqrt("aa") * F.sqrt("bb")
+    labels = F.array(*[F.lit(LABELS.get(n, n)) for n in names])
+    # Pairs come from the names, so that a table without rows has them too.
+    every = features.sparkSession.range(1).select(F.explode(cells).alias("cell")).select("cell.*")
+    return every.join(moments, ["i", "j"], "left").select(
+        F.get(labels, F.col("i")).alias("feature"), F.get(labels, F.col("j")).alias("other"),
+        F.when(spread > 0, F.try_divide("ab", spread)).alias("corr"))

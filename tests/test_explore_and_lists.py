@@ -113,3 +113,22 @@ def test_calendar_fields(spark):
     assert tuple(second) == (20260302, day(2), 0, "Thứ 2", 1, False, False, False)
     assert tuple(last) == (20260331, day(31), 1, "Thứ 3", 5, False, False, True)
     assert all(r.day_of_week == d.weekday() for d, r in dates.items())
+
+
+def test_correlation_is_stable_far_from_zero_and_on_empty_tables(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=500)
+    y = 0.3 * x + rng.normal(size=500)
+    df = spark.createDataFrame([(float(a) + 1e9, float(b) - 1e9, float("nan")) for a, b in zip(x, y)],
+                               "lag_1 double, lag_2 double, lag_3 double").repartition(7)
+    got = {(r.feature, r.other): r["corr"] for r in explore.correlation(df).collect()}
+    assert got["lag_2", "lag_1"] == pytest.approx(np.corrcoef(x, y)[0, 1], abs=1e-6)
+    assert got["lag_3", "lag_3"] is None and got["lag_3", "lag_1"] is None
+    none = explore.correlation(df.limit(0)).collect()
+    assert len(none) == 6 and all(r["corr"] is None for r in none)
+
+
+def test_correlation_is_one_grouped_aggregate(spark):
+    df = spark.createDataFrame([(1.0, 2.0)], "lag_1 double, lag_2 double")
+    plan = explore.correlation(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("covar_pop(a") <= 2 and "corr(" not in plan
