@@ -102,8 +102,7 @@ SPLIT = ("CASE WHEN day(full_date) <= 21 THEN 'train' "
 
 def _codes_sql(columns_of, order_of) -> str:
     ctes, selects = [], []
-    for i, level in enumerate(("3_category_store", "5_subgroup_province")):
-        keys = LEVELS[level]
+    for i, (level, keys) in enumerate(LEVELS.items()):
         ctes += [
             f"daily{i} AS ({_daily(level)})",
             f"series{i} AS (SELECT DISTINCT {', '.join(keys)} FROM ({_windowed(f'daily{i}', keys)}))",

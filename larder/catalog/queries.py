@@ -95,32 +95,13 @@ for _i, _level in enumerate(LEVELS, start=1):
     query(f"features_level{_i}", EXACT)(lambda s, level=_level: features.level_features(s, level))
 
 
-def _codes(s: Star, coder, columns_of) -> DataFrame:
-    parts = []
-    for level in ("3_category_store", "5_subgroup_province"):
-        keys = LEVELS[level]
-        series = encoding.series_of(features.level_features(s, level), keys)
-        for column in columns_of(series, keys):
-            coded, _ = coder(series, keys, column)
-            parts.append(coded.select(
-                F.lit(level).alias("level"), F.lit(column).alias("key_column"),
-                F.col(column).cast("string").alias("value"), F.col(f"{column}_enc").alias("code"),
-            ))
-    return training.stack(parts)
+def _codes(s: Star, kind: str) -> DataFrame:
+    codes, _ = encoding.all_codes(features.all_level_features(s))
+    return codes.where(F.col("kind") == kind).drop("kind")
 
 
-@query()
-def factorize_codes(s: Star) -> DataFrame:
-    ids = lambda series, keys: [k for k in keys if k.endswith("_id")]
-    return _codes(s, encoding.first_seen_codes, ids)
-
-
-@query()
-def label_codes(s: Star) -> DataFrame:
-    texts = lambda series, keys: [
-        k for k in keys if isinstance(series.schema[k].dataType, T.StringType)
-    ]
-    return _codes(s, lambda series, keys, column: encoding.label_codes(series, column), texts)
+query("factorize_codes")(lambda s: _codes(s, encoding.FIRST))
+query("label_codes")(lambda s: _codes(s, encoding.LABEL))
 
 
 @query("feature_vector")
