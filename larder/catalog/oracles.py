@@ -195,6 +195,23 @@ def _naive_ctes(keys) -> list[str]:
     ]
 
 
+def _autoregression_ctes(keys: str) -> list[str]:
+    """Moments of a series and its two lags; a variance that is none but rounding is NULL."""
+    return [
+        f"parted AS (SELECT *, {SPLIT} AS split FROM feat)",
+        f"fitting AS (SELECT * FROM parted QUALIFY count(*) FILTER (split = 'train') OVER (PARTITION BY {keys}) >= 7 "
+        f"AND count(*) FILTER (split = 'test') OVER (PARTITION BY {keys}) > 0)",
+        f"lagged AS (SELECT {keys}, log_sales_qty AS y, lag(log_sales_qty, 1) OVER s AS l1, lag(log_sales_qty, 2) OVER s AS l2, "
+        f"count(*) OVER (PARTITION BY {keys}) AS held FROM fitting WHERE split <> 'test' AND log_sales_qty IS NOT NULL "
+        f"WINDOW s AS (PARTITION BY {keys} ORDER BY full_date))",
+        f"raw AS (SELECT {keys}, CAST(count(*) AS INT) AS n, avg(y) AS y, avg(l1) AS l1, avg(l2) AS l2, var_pop(y) AS vy, "
+        f"CASE WHEN count(*) * var_pop(l1) > 1e-10 * sum(l1 * l1) THEN var_pop(l1) END AS v1, var_pop(l2) AS v2, "
+        f"sum(l2 * l2) AS s2, covar_pop(l1, y) AS c1y, covar_pop(l2, y) AS c2y, covar_pop(l1, l2) AS c12 "
+        f"FROM lagged WHERE held > 5 AND l2 IS NOT NULL GROUP BY {keys})",
+        "moments AS (SELECT *, CASE WHEN n * (v1 * v2 - c12 * c12) / v1 > 1e-10 * s2 THEN v1 * v2 - c12 * c12 END AS det FROM raw)",
+    ]
+
+
 METRICS = [
     *ALL_FEATURES,
     *_naive_ctes(("level", *KEY_COLUMNS)),
@@ -394,16 +411,20 @@ def _oracles() -> dict[str, str]:
     o["calendar"] = _with(DATES) + "\nSELECT * FROM dates"
     o["weekend_dates"] = _with(DATES) + "\nSELECT full_date, strftime(full_date, '%d/%m') AS label FROM dates WHERE is_weekend"
 
-    level = "4_subgroup_national"
-    o["temporal_split"] = _with(*_level_features(level)) + (
-        f"\nSELECT {', '.join(LEVELS[level])}, full_date, {SPLIT} AS split, day(full_date) <= 26 AS is_fit FROM feat"
-    )
+    long_keys = ", ".join(("level", *KEY_COLUMNS))
+    o["temporal_split"] = _with(*ALL_FEATURES) + (
+        f"\nSELECT {long_keys}, full_date, {SPLIT} AS split, day(full_date) <= 26 AS is_fit FROM feat")
     counts = ", ".join(f"count(*) FILTER ({SPLIT} = '{s}') AS n_{s}" for s in ("train", "val", "test"))
     o["split_counts"] = _with(*ALL_FEATURES) + f"\nSELECT level, {counts} FROM feat GROUP BY level"
-    level = "6_subgroup_store"
-    o["naive_forecast"] = _with(*_level_features(level), *_naive_ctes(LEVELS[level])) + (
-        f"\nSELECT {', '.join(LEVELS[level])}, full_date, sales_qty AS actual, last_qty AS predicted FROM naive"
+    o["naive_forecast"] = _with(*ALL_FEATURES, *_naive_ctes(("level", *KEY_COLUMNS))) + (
+        f"\nSELECT {long_keys}, full_date, sales_qty AS actual, last_qty AS predicted FROM naive"
     )
+    o["ar_coefficients"] = _with(*ALL_FEATURES, *_autoregression_ctes(long_keys)) + (
+        f"\nSELECT {long_keys}, 1 AS p, n, {_r('y - c1y / v1 * l1', 'constant')}, {_r('c1y / v1', 'ar1')}, NULL::DOUBLE AS ar2, "
+        f"{_r('n * (vy - c1y * c1y / v1)', 'squares_left')} FROM moments UNION ALL "
+        f"SELECT {long_keys}, 2, n, {_r('y - a1 * l1 - a2 * l2', 'constant')}, {_r('a1', 'ar1')}, {_r('a2', 'ar2')}, "
+        f"{_r('n * (vy - a1 * c1y - a2 * c2y)', 'squares_left')} FROM "
+        "(SELECT *, (c1y * v2 - c2y * c12) / det AS a1, (c2y * v1 - c1y * c12) / det AS a2 FROM moments)")
     o["metrics"] = _with(*METRICS) + "\nSELECT * FROM scored"
     o["best_model"] = _with(*METRICS) + (
         '\nSELECT model, round(avg("MAPE"), 6) AS mean_mape FROM scored GROUP BY model ORDER BY mean_mape NULLS LAST, model LIMIT 1'

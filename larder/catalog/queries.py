@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from larder.functions import calendar
 from larder.models import boosting
-from larder.models.arima import arima_forecast
+from larder.models.arima import arima_forecast, autoregressions
 from larder.models.naive import naive_forecast, with_last_known
 from larder.models.regressors import feature_columns, feature_vector, train_linear
 from larder.operators import (
@@ -191,9 +191,8 @@ def weekend_dates(s: Star) -> DataFrame:
 
 @query()
 def temporal_split(s: Star) -> DataFrame:
-    level = "4_subgroup_national"
-    return split.with_split(features.level_features(s, level)).select(
-        *LEVELS[level], "full_date", "split", (F.col("split") != "test").alias("is_fit")
+    return split.with_split(features.all_level_features(s)).select(
+        "level", *KEY_COLUMNS, "full_date", "split", (F.col("split") != "test").alias("is_fit")
     )
 
 
@@ -202,10 +201,7 @@ def split_counts(s: Star) -> DataFrame:
     return split.split_counts(features.all_level_features(s))
 
 
-@query("naive_forecast")
-def _naive(s: Star) -> DataFrame:
-    level = "6_subgroup_store"
-    return naive_forecast(features.level_features(s, level), LEVELS[level])
+query("naive_forecast")(lambda s: naive_forecast(features.all_level_features(s), ("level", *KEY_COLUMNS)))
 
 
 def _baselines(s: Star) -> DataFrame:
@@ -379,10 +375,10 @@ def linear_forecast(s: Star) -> DataFrame:
     return train_linear(features.level_features(s, SERIES_LEVEL), LEVELS[SERIES_LEVEL]).predictions
 
 
-@query("arima_forecast")
-def _arima(s: Star) -> DataFrame:
-    level = "6_subgroup_store"
-    return arima_forecast(features.level_features(s, level), LEVELS[level])
+ALL_KEYS = ("level", *KEY_COLUMNS)
+
+query("arima_forecast")(lambda s: arima_forecast(features.all_level_features(s), ALL_KEYS))
+query("ar_coefficients")(lambda s: autoregressions(features.all_level_features(s), ALL_KEYS))
 
 
 @query()
