@@ -51,9 +51,8 @@ FIELD_BYTES = 400
 
 # --- writing --------------------------------------------------------------
 
-def base32_sha1(text: Column) -> Column:
-    """The SHA-1 of a text's UTF-8 bytes in base 32: four digits for every five of the hex form."""
-    digest = F.sha1(text)
+def base32_of(digest: Column) -> Column:
+    """A SHA-1 in base 32 from its hex form: four digits for every five."""
     digits = []
     for i in range(8):
         value = F.conv(F.substring(digest, 5 * i + 1, 5), 16, 10).cast("int")
@@ -74,12 +73,16 @@ def _one_line(value: Column) -> Column:
     return F.replace(F.replace(value, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
 
 
-def _record(fields: list[tuple[str, Column | str]], block: Column) -> Column:
-    """One record: version, named fields (null ones are left out), length, block."""
+def _record(fields: list[tuple[str, Column | str]], block: Column, length: Column | None = None) -> Column:
+    """One record: version, named fields (null ones are left out), length, block.
+
+    The length of a large block is given, so that the block is not put together for it.
+    """
+    length = F.octet_length(block) if length is None else length
     lines = [F.lit(VERSION)]
     for name, value in fields:
         lines.append(F.concat(F.lit(f"{name}: "), F.lit(value) if isinstance(value, str) else value))
-    lines.append(F.concat(F.lit("Content-Length: "), F.octet_length(block).cast("string")))
+    lines.append(F.concat(F.lit("Content-Length: "), length.cast("string")))
     return F.concat(F.concat_ws(LINE, *lines), F.lit(LINE + LINE), block)
 
 
@@ -92,14 +95,15 @@ def records_of(
         F.col(id_column).cast("long").alias("page"), F.col(url_column).cast("string").alias("url"), html.alias("html"),
         F.sha1(html).alias("sha1"), F.octet_length(html).cast("long").alias("bytes"),
     )
-    kept = stored(rows.groupBy("sha1", "bytes").agg(F.max(F.struct("page", "url")).alias("first")))
+    kept = stored(rows.groupBy("sha1", "bytes").agg(F.max(F.struct("page", "url")).alias("first")).withColumn(
+        "digest", F.concat(F.lit("sha1:"), base32_of(F.col("sha1")))))
     rows = rows.join(kept, ["sha1", "bytes"])
 
     page, url, first = F.col("page"), F.col("url"), F.col("first")
     is_response = F.struct("page", "url").eqNullSafe(first)
     capture = _record_id("capture", page, url, F.col("sha1"))
     target = _one_line(url)
-    digest = F.concat(F.lit("sha1:"), base32_sha1(F.col("html")))
+    digest = F.col("digest")
     head = F.concat(
         F.lit(f"HTTP/1.1 200 OK{LINE}Content-Type: text/html; charset=utf-8{LINE}Content-Length: "),
         F.col("bytes").cast("string"), F.lit(LINE + LINE))
@@ -110,7 +114,7 @@ def records_of(
     http = "application/http; msgtype="
     response = _record(
         [*common("response", capture), ("WARC-Payload-Digest", digest), ("Content-Type", http + "response")],
-        F.concat(head, F.col("html")))
+        F.concat(head, F.col("html")), F.octet_length(head) + F.col("bytes"))
     revisit = _record(
         [*common("revisit", capture), ("WARC-Payload-Digest", digest), ("WARC-Profile", REVISIT_PROFILE),
          ("WARC-Refers-To", _record_id("capture", first["page"], first["url"], F.col("sha1"))),
