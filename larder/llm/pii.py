@@ -6,12 +6,14 @@ one for each distinct value.
 
 Words beside an entity may reveal it. Over the distinct texts of the corpus, p(e) is the
 share that holds the entity e, and p(e|t) the share that holds e among those that hold
-the word t, smoothed by one text more that holds t without e. The information that t
-discloses about e is log2(p(e|t) / p(e)), of at most -log2 p(e). A word whose
-disclosure reaches a fraction of that most for any entity is sanitised wherever it
-occurs, in all texts: a capitalised word is generalised to a name, one with digits to
-a number, any other is removed. Copies of one text count once. Every entity is judged,
-however rare: in a large corpus one text is enough for a word that occurs nowhere else.
+the word t, taken at the lower end of its 95 % interval (Wilson), so that little evidence
+counts little whatever the size of the corpus. A word discloses an entity if that bound
+reaches 0.4 and tells at least three bits more than p(e) does; it is then sanitised wherever
+it occurs, in all texts: a capitalised word is generalised to a name, one with digits to
+a number, any other is removed. Copies of one text count once. One text is no evidence
+(its bound is 0.27), two texts that share an entity and a word that occurs nowhere else are. So
+only entities in two texts or more are paired with words, only words met twice beside
+one are counted over the corpus, and unrelated texts don't change a verdict.
 
 The patterns are possessive and start only where a run starts, so that long runs
 cost linear time and no stack; they match what the plain forms would.
@@ -40,8 +42,10 @@ CARD_DIGITS, PHONE_DIGITS = (14, 19), (10, 15)
 
 TERM = r"\p{L}[\p{L}\p{N}]{2,}+"
 TERM_KINDS = ("name", "number", "term")
-DISCLOSURE = 0.9
-CELLS = 1 << 20
+DISCLOSURE = 0.4
+LEAST_BITS = 3.0
+Z = 1.645
+BROADCAST_KEYS = 1_000_000
 
 
 # --- base kinds -----------------------------------------------------------
@@ -123,70 +127,74 @@ def _found(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return stored(based.withColumn("base", sp.in_order({k: F.col(k) for k in KINDS})))
 
 
-def _among(rows: DataFrame, key: str, keys: DataFrame, how: str = "left_semi") -> DataFrame:
-    """The rows whose key shares a cell with one of the keys, or with how="left_anti" the others.
+def _met(rows: DataFrame, key: str, others: DataFrame, how: str = "inner") -> DataFrame:
+    """The rows joined to others on a key: by a broadcast of at most a million narrow rows, else by a shuffle."""
+    few = others.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    return rows.join(F.broadcast(others) if few else others, key, how)
 
-    A broadcast of at most CELLS numbers, which spares most rows the exact join after it.
-    """
-    cell = F.pmod(F.xxhash64(key), F.lit(CELLS)).cast("int")
-    cells = keys.select(cell.alias("_cell")).distinct()
-    return rows.withColumn("_cell", cell).join(F.broadcast(cells), "_cell", how).drop("_cell")
+
+def _among(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """The rows whose key is one of the keys."""
+    return _met(rows, key, keys.select(key).distinct(), "left_semi")
+
+
+def lower_bound(both: Column, n: Column) -> Column:
+    """The lower end of the 95 % interval of a share, by Wilson."""
+    share, n = both / n, n.cast("double")
+    middle = share + Z * Z / (2 * n)
+    return (middle - Z * F.sqrt(share * (1 - share) / n + Z * Z / (4 * n * n))) / (1 + Z * Z / n)
 
 
-def disclosing(found: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
-    """Stored: pairs of entity and term where the term discloses the entity.
+def candidates(found: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
+    """Stored: entity, term, texts of the entity, and texts with both, where these are two or more.
 
     Entities that occur in the same texts have the same terms and are judged as one, by
-    the least of them. A term in more texts than any entity beside it could make up for
-    is left out before pairs are formed. Neither loses a term.
+    the least of them. A word in so many texts with entities that no entity beside it could
+    reach the disclosure is left out before pairs are formed, and so is one in a single
+    text. Neither loses a term.
     """
-    contexts = checkpointed(found.groupBy("context").agg(F.min("row").alias("row"), F.count("*").alias("copies")))
-    total = max(1, contexts.count())
-    # Only texts that may have copies move to tell the first of each from the others.
-    copied = contexts.where("copies > 1")
-    first = copied.select("row")
-    rows = found.select("row", "context", "text", "base")
-    terms = F.explode(_terms(F.col("text"), F.col("base"))).alias("term")
-    alone = _among(rows, "context", copied, "left_anti").select(terms)
-    maybe = _among(rows, "context", copied)
-    others = maybe.join(copied.select("context"), "context", "left_anti").select(terms)
-    firsts = _among(rows, "row", first).join(first, "row", "left_semi").select(terms)
-    counts = checkpointed(alone.union(others).union(firsts).groupBy("term").agg(F.count("*").alias("n")))
-
-    own = rows.where(F.size("base") > 0)
+    own = found.where(F.size("base") > 0).select("row", "context", "text", "base")
     value = lambda s: F.xxhash64(
         s["kind"], F.substring(F.col("text"), s["start"] + 1, s["end"] - s["start"]))
     held = checkpointed(
         own.select("context", F.explode(F.array_distinct(F.transform("base", value))).alias("entity")).distinct())
     entities = held.groupBy("entity").agg(
         F.count("*").alias("texts"), F.sum(F.xxhash64("context").cast("decimal(38,0)")).alias("where"))
-    judged = entities.groupBy("texts", "where").agg(F.min("entity").alias("entity")).select("entity", "texts")
+    judged = entities.where("texts > 1").groupBy("texts", "where").agg(F.min("entity").alias("entity")).select("entity", "texts")
     held = checkpointed(held.join(judged, "entity"))
+    once = checkpointed(_among(own.select("row", "context"), "context", held).groupBy("context").agg(F.min("row").alias("row")))
+    terms = _among(own, "row", once).select("context", F.explode(_terms(F.col("text"), F.col("base"))).alias("term"))
+    counts = checkpointed(terms.groupBy("term").agg(F.count("*").alias("here")).where("here > 1"))
+    both = _met(_met(terms, "term", counts), "context", held).where(F.col("here") * disclosure <= F.col("texts"))
+    return stored(both.groupBy("entity", "term").agg(
+        F.count("*").alias("both"), F.first("texts").alias("texts")).where("both > 1"))
 
-    # both / (n + 1) must reach p(e) ** (1 - disclosure), and both is at most the entity's texts.
-    most = F.pow(F.col("texts"), F.lit(disclosure)) * total ** (1 - disclosure)
-    widest = held.groupBy("context").agg(F.max(most).alias("widest"))
-    few = (
-        own.select("context", terms).distinct().join(counts, "term").join(widest, "context").where("n + 1 <= widest")
-    )
-    pairs = (
-        few.select("context", "term", "n").join(held, "context").where(F.col("n") + 1 <= most)
-        .groupBy("entity", "term").agg(F.count("*").alias("both"), F.first("n").alias("n"), F.first("texts").alias("texts"))
-    )
-    chance = F.col("texts") / total
-    gained = F.log2(F.col("both") / (F.col("n") + 1) / chance)
-    return stored(pairs.where(gained >= disclosure * -F.log2(chance)).select("entity", "term"))
+
+def occurrences(found: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Stored: row, context and term wherever a term of the pairs occurs; the only pass over all words."""
+    terms = F.explode(_terms(F.col("text"), F.col("base"))).alias("term")
+    return stored(_among(found.select("row", "context", terms), "term", pairs))
+
+
+def disclosing(
+    found: DataFrame, pairs: DataFrame, places: DataFrame, disclosure: float = DISCLOSURE, least_bits: float = LEAST_BITS,
+) -> DataFrame:
+    """Pairs of entity and term where the term discloses the entity."""
+    total = max(1, found.select("context").distinct().count())
+    counts = places.select("term", "context").distinct().groupBy("term").agg(F.count("*").alias("n"))
+    share = lower_bound(F.col("both"), F.col("n"))
+    gained = F.log2(share / (F.col("texts") / total))
+    return pairs.join(counts, "term").where((share >= disclosure) & (gained >= least_bits)).select("entity", "term")
 
 
 def _with_terms(docs: DataFrame, id_column: str, text_column: str, disclosure: float) -> DataFrame:
     """The found table with all spans of each row in the column `every`."""
     found = _found(docs, id_column, text_column)
-    hidden = stored(disclosing(found, disclosure).select("term").distinct())
+    pairs = candidates(found, disclosure)
+    places = occurrences(found, pairs)
+    hidden = stored(disclosing(found, pairs, places, disclosure).select("term").distinct())
     text, base = F.col("text"), F.col("base")
-    hits = stored(
-        _among(found.select("row", F.explode(_terms(text, base)).alias("term")), "term", hidden)
-        .join(hidden, "term", "left_semi").groupBy("row").agg(F.collect_list("term").alias("hidden"))
-    )
+    hits = stored(_among(places, "term", hidden).groupBy("row").agg(F.collect_list("term").alias("hidden")))
 
     def kind(span: Column) -> Column:
         word = F.substring(text, span["start"] + 1, span["end"] - span["start"])

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 
@@ -83,7 +84,7 @@ def test_a_rare_name_beside_an_address_in_two_texts_is_sanitised_everywhere(spar
     hidden = {r.doc_id: {text[r.doc_id][int(s.split(":")[1]):int(s.split(":")[2])] for s in r.spans.split(",") if s}
               for r in pii.scan(docs).collect()}
     assert all({"Barnaby", "bar@mail.example"} <= hidden[i] for i in range(2))
-    assert hidden[50] == {"old@mail.example", "Quentin"} | ({"old"} & hidden[50])
+    assert hidden[50] == {"old@mail.example"}
     assert not {"common", "words", "number", "wrote", "please"} & set().union(*hidden.values())
     more = docs.union(spark.createDataFrame([(9999, "so Barnaby came alone " + far)], docs.schema))
     spans = pii.scan(more.union(spark.createDataFrame(
@@ -103,3 +104,60 @@ def test_empty_table_null_ids_and_clashing_names(spark):
     assert pii.scan(spark.createDataFrame([], kind)).collect() == []
     rows = pii.scan(spark.createDataFrame([(None, "a@b.c", 1, "n", 2), (None, "a@b.c", 1, "n", 2)], kind)).collect()
     assert [r.spans for r in rows] == ["email:0:5"] * 2
+
+
+def brute_pairs(texts):
+    """Terms that disclose some address, by counting over the distinct texts."""
+    own = {}
+    for text in set(texts):
+        spans = [tuple(map(int, s.split(":")[1:])) for s in plain(text)]
+        bare = "".join(" " if any(a <= i < b for a, b in spans) else c for i, c in enumerate(text))
+        own[text] = ({text[a:b] for a, b in spans}, {w.lower() for w in re.findall(r"[^\W\d_][^\W_]{2,}", bare)})
+    found = set()
+    for entity in set().union(*(e for e, _ in own.values())):
+        with_entity = [t for t, (e, _) in own.items() if entity in e]
+        for term in set().union(*(own[t][1] for t in with_entity)):
+            n = sum(term in words for _, words in own.values())
+            both = sum(term in own[t][1] for t in with_entity)
+            share, z = both / n, pii.Z
+            low = (share + z * z / (2 * n) - z * math.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+            if low >= pii.DISCLOSURE and math.log2(low / (len(with_entity) / len(own))) >= pii.LEAST_BITS:
+                found.add(term)
+    return found
+
+
+def hidden_words(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = set()
+    for r in pii.scan(docs).collect():
+        for s in filter(None, r.spans.split(",")):
+            kind, start, end = s.split(":")
+            if kind in pii.TERM_KINDS:
+                found.add(texts[r.doc_id][int(start):int(end)].lower())
+    return found
+
+
+def test_disclosing_words_equal_counting_by_hand(spark, monkeypatch):
+    rng = random.Random(3)
+    names = [f"name{c}" for c in "abcdefgh"]
+    texts = []
+    for _ in range(300):
+        words = rng.choices([f"word{c}{d}" for c in "abcdefghij" for d in "klmnop"], k=6)
+        if rng.random() < 0.2:
+            i = rng.randrange(8)
+            words += [f"p{i}@mail.example"] + ([names[i]] if rng.random() < 0.8 else [])
+        elif rng.random() < 0.05:
+            words.append(rng.choice(names))
+        texts.append(" ".join(words))
+    texts += texts[:40]
+    want = brute_pairs(texts)
+    assert want and hidden_words(spark, texts) == want
+    monkeypatch.setattr(pii, "BROADCAST_KEYS", 0)
+    assert hidden_words(spark, texts) == want
+
+
+def test_unrelated_texts_and_single_ones_change_no_verdict(spark):
+    texts = [f"Barnaby wrote {c * 4} to bar@mail.example" for c in "xyz"] + ["write gooseberry to one@mail.example"]
+    for n in (100, 1_000, 5_000):
+        found = hidden_words(spark, texts + [f"plain unrelated words {i}" for i in range(n)])
+        assert found == {"barnaby", "wrote"}
