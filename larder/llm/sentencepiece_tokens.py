@@ -8,8 +8,8 @@ Texts are encoded in Arrow batches. Where no piece holds a marker after another
 character, and nothing is normalised away, a text falls apart into segments that
 begin with markers and are encoded alone with the same result; every distinct
 segment of a batch is then encoded once, by the library's threads. Each segment
-is also encoded by the sentencepiece library, so parity is verified for every
-text and not for a sample.
+is also encoded by the sentencepiece library and decoded again, so parity and round
+trip are verified for every text and not for a sample.
 
 Defined results: a null or empty text has no ids; a text that holds the marker
 itself does not survive the round trip, as the marker means a blank; repeated rows
@@ -24,6 +24,7 @@ import struct
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -42,7 +43,7 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
 
 # A worker holds one part's texts and ids as Python objects at a time.
 PART_BYTES = 2_000_000
-CACHED = 100_000
+CACHED = 200_000
 CACHED_LENGTH = 40
 
 
@@ -183,6 +184,72 @@ def build_tokenizer(model: Model, normalise: bool = True):
     return tokenizer
 
 
+class Segments:
+    """Known segments with their ids, one after the other in one array.
+
+    Unknown ids, parity and round trip are kept by segment, so that a text's are sums
+    over its segments.
+    """
+
+    def __init__(self) -> None:
+        self.index: dict[str, int] = {}
+        self.offsets = np.zeros(1, np.int64)
+        self.ids = np.zeros(0, np.int32)
+        self.unknown, self.unequal, self.unlike, self.used = (np.zeros(0, np.int64) for _ in range(4))
+
+    def __len__(self) -> int:
+        return len(self.index)
+
+    def add(self, keys: list[str], ids: list[list[int]], unknown: int, unequal, unlike) -> None:
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
+        self.index.update(zip(keys, range(len(self.index), len(self.index) + len(keys))))
+        ends = np.cumsum(sizes)
+        counted = np.concatenate([[0], np.cumsum(flat == unknown)])
+        self.unknown = np.concatenate([self.unknown, counted[ends] - counted[ends - sizes]])
+        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + ends])
+        self.ids = np.concatenate([self.ids, flat])
+        self.unequal = np.concatenate([self.unequal, np.asarray(unequal, np.int64)])
+        self.unlike = np.concatenate([self.unlike, np.asarray(unlike, np.int64)])
+        self.used = np.concatenate([self.used, np.zeros(len(keys), np.int64)])
+
+    def keep_used(self, n: int) -> None:
+        """Forget all but the n most used segments."""
+        places = np.sort(np.argsort(-self.used, kind="stable")[:n])
+        names = list(self.index)
+        self.index = {names[p]: i for i, p in enumerate(places.tolist())}
+        sizes, self.ids = self.gather(places)
+        self.offsets = np.concatenate([[0], np.cumsum(sizes)])
+        self.unknown, self.unequal, self.unlike = (a[places] for a in (self.unknown, self.unequal, self.unlike))
+        self.used = self.used[places] // 2
+
+    def cut(self, n: int) -> None:
+        """Keep what belongs to the first n segments, which the index holds."""
+        self.ids, self.offsets = self.ids[:self.offsets[n]], self.offsets[:n + 1]
+        self.unknown, self.unequal, self.unlike = self.unknown[:n], self.unequal[:n], self.unlike[:n]
+        self.used = self.used[:n]
+
+    def gather(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The number of ids of each place, and all ids in a row."""
+        starts, sizes = self.offsets[places], self.offsets[places + 1] - self.offsets[places]
+        before = np.cumsum(sizes) - sizes
+        return sizes, self.ids[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]
+
+
+@dataclass(frozen=True)
+class Encoded:
+    """The ids of some texts in a row, where each text's begin, and the checks by text."""
+
+    offsets: np.ndarray
+    ids: np.ndarray
+    unknown: np.ndarray
+    parity: np.ndarray
+    round_trip: np.ndarray
+
+    def lists(self) -> list[list[int]]:
+        return [self.ids[a:b].tolist() for a, b in zip(self.offsets, self.offsets[1:])]
+
+
 class Codec:
     """Encodes and decodes with one model; keeps a bounded table of known segments."""
 
@@ -195,8 +262,7 @@ class Codec:
         self.by_segment = model.segments
         self.tokenizer = build_tokenizer(model, normalise=not self.by_segment)
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=data)
-        self.known: dict[str, list[int]] = {}
-        self.unequal: set[str] = set()
+        self.known = Segments()
         self.as_bytes = [
             bytes([int(p[3:5], 16)]) if k == BYTE else b"" if k == CONTROL
             else " ⁇ ".encode() if k == UNKNOWN else p.replace(MARK, " ").encode()
@@ -214,40 +280,70 @@ class Codec:
         return [s[1:] for s in self.runs.findall(MARK + marked)]
 
     def _learn(self, keys: set[str]) -> None:
-        """Encode segments that are not known yet, and compare both libraries."""
-        new = list(keys - self.known.keys())
+        """Encode segments that are not known yet, compare both libraries, and decode.
+
+        When the table would be full, the more used half of it is kept. Long segments
+        come last, so that they can be forgotten by cutting the table.
+        """
+        new = keys - self.known.index.keys()
         if len(self.known) + len(new) > CACHED:
-            self.known.clear()
-            self.unequal.clear()
-            new = list(keys)
-        encoded = self.tokenizer.encode_batch_fast([MARK + k for k in new], add_special_tokens=False)
+            self.known.keep_used(CACHED // 2)
+            new = keys - self.known.index.keys()
+        new = sorted(new, key=lambda k: len(k) > CACHED_LENGTH)
+        if not new:
+            return
+        ours = [e.ids for e in self.tokenizer.encode_batch_fast([MARK + k for k in new], add_special_tokens=False)]
+        theirs = self.reference.encode(new, num_threads=1)
         mark = [self.reference.piece_to_id(MARK)]
-        expected = self.reference.encode(new, num_threads=1) if new else []
-        for key, ours, theirs in zip(new, encoded, expected):
-            ids = ours.ids
-            self.known[key] = ids
-            if ids != (theirs if key else mark):
-                self.unequal.add(key)
-
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
-        """Ids of each text, and whether the sentencepiece library gives the same."""
+        table = self.as_bytes
+        self.known.add(
+            new, ours, self.model.unknown,
+            [a != (b if k else mark) for k, a, b in zip(new, ours, theirs)],
+            [b"".join([table[i] for i in a]) != (" " + k.replace(MARK, " ")).encode() for k, a in zip(new, ours)],
+        )
+
+    def _forget(self) -> None:
+        """Cut the table back to its bound, without long segments."""
+        known = self.known
+        while known.index and len(next(reversed(known.index))) > CACHED_LENGTH:
+            known.index.popitem()
+        known.cut(len(known))
+        if len(known) > CACHED:
+            known.keep_used(CACHED // 2)
+
+    def encode(self, texts: list[str]) -> Encoded:
+        """Ids of each text, whether the sentencepiece library gives the same, and the round trip."""
         if not self.by_segment:
             ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
             same = self.reference.encode(texts, num_threads=1) if texts else []
-            return ids, [a == b for a, b in zip(ids, same)]
+            offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids], dtype=np.int64)])
+            return Encoded(
+                offsets, np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1])),
+                np.array([i.count(self.model.unknown) for i in ids], np.int64),
+                np.array([a == b for a, b in zip(ids, same)], bool),
+                np.array([self.decode(i) == t for i, t in zip(ids, texts)], bool),
+            )
         keys = [self._keys(t) for t in texts]
         self._learn(set().union(*keys))
-        known, unequal = self.known, self.unequal
-        ids = []
-        for row in keys:
-            found: list[int] = []
-            for key in row:
-                found += known[key]
-            ids.append(found)
-        equal = [not unequal or unequal.isdisjoint(row) for row in keys]
-        for key in [k for k in self.known if len(k) > CACHED_LENGTH]:
-            del self.known[key]
-        return ids, equal
+        known = self.known
+        borders = np.concatenate([[0], np.cumsum([len(row) for row in keys], dtype=np.int64)])
+        places = np.fromiter(map(known.index.__getitem__, chain.from_iterable(keys)), np.int64, int(borders[-1]))
+        known.used += np.bincount(places, minlength=len(known.used))
+        sizes, ids = known.gather(places)
+
+        def by_text(values: np.ndarray) -> np.ndarray:
+            total = np.concatenate([[0], np.cumsum(values)])[borders]
+            return total[1:] - total[:-1]
+
+        offsets = np.concatenate([[0], np.cumsum(sizes)])[borders]
+        trip = by_text(known.unlike[places]) == 0
+        for i in range(len(texts)):
+            # Segments that decode to themselves join to the text, but for markers in it.
+            if not trip[i] or MARK in texts[i]:
+                trip[i] = self.decode(ids[offsets[i]:offsets[i + 1]].tolist()) == texts[i]
+        found = Encoded(offsets, ids, by_text(known.unknown[places]), by_text(known.unequal[places]) == 0, trip)
+        self._forget()
+        return found
 
     def decode(self, ids) -> str:
         """The text of some ids."""
@@ -285,17 +381,14 @@ def _encoder(data: bytes, threads: int) -> Callable:
             texts = pc.fill_null(batch.column(1), "")
             for part in _parts(pc.binary_length(texts).to_numpy(zero_copy_only=False)):
                 some = texts.slice(part.start, part.stop - part.start).to_pylist()
-                ids, equal = codec.encode(some)
-                sizes = np.array([len(i) for i in ids], np.int32)
-                flat = np.fromiter((x for row in ids for x in row), np.int32, int(sizes.sum()))
-                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                found = codec.encode(some)
                 arrays = [
                     batch.column(0).slice(part.start, part.stop - part.start),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
-                    pa.array(sizes),
-                    pa.array([row.count(codec.model.unknown) for row in ids], pa.int32()),
-                    pa.array([codec.decode(row) == t for row, t in zip(ids, some)]),
-                    pa.array(equal, pa.bool_()),
+                    pa.ListArray.from_arrays(pa.array(found.offsets.astype(np.int32)), pa.array(found.ids)),
+                    pa.array(np.diff(found.offsets).astype(np.int32)),
+                    pa.array(found.unknown.astype(np.int32)),
+                    pa.array(found.round_trip),
+                    pa.array(found.parity),
                 ]
                 others = [c.slice(part.start, part.stop - part.start) for c in batch.columns[2:]]
                 yield pa.RecordBatch.from_arrays(

@@ -50,8 +50,11 @@ def test_parity_of_whole_texts_with_the_other_library(model, folder, spark):
     texts = TEXTS + [r.text for r in spark.read.parquet(f"{folder}/documents.parquet").limit(60).collect()]
     reference = sentencepiece.SentencePieceProcessor(model_proto=model)
     codec = st.Codec(model)
-    ids, equal = codec.encode(texts)
-    assert codec.by_segment and all(equal)
+    found = codec.encode(texts)
+    ids = found.lists()
+    assert codec.by_segment and all(found.parity)
+    assert found.round_trip.tolist() == [codec.decode(i) == t for i, t in zip(ids, texts)]
+    assert found.unknown.tolist() == [i.count(codec.model.unknown) for i in ids]
     assert ids == reference.encode(texts)
     whole = st.build_tokenizer(codec.model)
     assert [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)] == ids
@@ -66,8 +69,9 @@ def test_a_unigram_model_with_byte_fallback():
     codec = st.Codec(data)
     rng = random.Random(6)
     texts = TEXTS[:7] + ["".join(rng.choices("there  é", k=rng.randint(1, 30))) for _ in range(200)]
-    ids, equal = codec.encode(texts)
-    assert ids == reference.encode(texts) and all(equal)
+    found = codec.encode(texts)
+    ids = found.lists()
+    assert ids == reference.encode(texts) and all(found.parity) and all(found.round_trip)
     assert [codec.decode(i) for i in ids] == texts
 
 
@@ -97,5 +101,28 @@ def test_known_segments_stay_bounded(model, monkeypatch):
     reference = sentencepiece.SentencePieceProcessor(model_proto=model)
     for i in range(5):
         texts = [f"word{i}x{j} and " + "long" * 30 for j in range(30)]
-        assert codec.encode(texts)[0] == reference.encode(texts)
+        assert codec.encode(texts).lists() == reference.encode(texts)
         assert len(codec.known) <= 50
+
+
+def test_the_more_used_half_of_the_segments_is_kept(model, monkeypatch):
+    monkeypatch.setattr(st, "CACHED", 20)
+    codec = st.Codec(model)
+    reference = sentencepiece.SentencePieceProcessor(model_proto=model)
+    for i in range(12):
+        text = "often " * 9 + " ".join(f"rare{i}x{j}" for j in range(7))
+        assert codec.encode([text]).lists() == [reference.encode(text)]
+        assert "often" in codec.known.index and len(codec.known) <= 20
+
+
+def test_checks_by_segment_equal_those_of_whole_texts(model):
+    """A segment that the libraries differ in, or that does not decode to itself, shows in its texts alone."""
+    codec = st.Codec(model)
+    codec.encode(["one two three"])
+    at = codec.known.index["two"]
+    codec.known.unequal[at], codec.known.ids[codec.known.offsets[at]] = 1, codec.model.unknown
+    codec.known.unlike[at] = codec.known.unknown[at] = 1
+    found = codec.encode(["one three", "three two", "two", "", "one ▁ three"])
+    assert found.parity.tolist() == [True, False, False, True, True]
+    assert found.round_trip.tolist() == [True, False, False, True, False]
+    assert found.unknown.tolist() == [0, 1, 1, 0, 0]
