@@ -183,6 +183,23 @@ def _correlation_sql() -> str:
     ) + "\n" + " UNION ALL ".join(cells)
 
 
+def _moments_sql() -> str:
+    """Correlations of the model inputs and the target by level and split."""
+    names = [*FEATURES, "log_sales_qty"]
+    values = ", ".join(f"coalesce(CAST({n} AS DOUBLE), 0) AS {n}" for n in names)
+    cell = (
+        "SELECT level, split, '{0}' AS feature, '{1}' AS other, count(*) AS n, CASE WHEN min({0}) < max({0}) "
+        "AND min({1}) < max({1}) THEN round(corr({0}, {1}), 6) END AS corr FROM flat GROUP BY level, split"
+    )
+    cells = [cell.format(a, b) for i, a in enumerate(names) for b in names[:i]]
+    return _with(
+        *ALL_FEATURES,
+        f"flat AS MATERIALIZED (SELECT level, {SPLIT} AS split, {values} "
+        f"FROM (SELECT * REPLACE (CAST(is_weekend AS INT) AS is_weekend) FROM feat) "
+        f"WHERE sales_qty > -1 OR {SPLIT} = 'test')",
+    ) + "\n" + " UNION ALL ".join(cells)
+
+
 def _naive_ctes(keys) -> list[str]:
     part = ", ".join(keys)
     return [
@@ -458,6 +475,12 @@ def _oracles() -> dict[str, str]:
     o["one_day_forecast_fixed"] = _rolled_sql(0)
     o["recursive_forecast_fixed"] = _rolled_sql(ROLLOUT_DAYS)
     o["forecast_record_fixed"] = _record_sql()
+    o["training_moments"] = _moments_sql()
+    o["model_registry"] = _with(*ALL_FEATURES) + (
+        "\nSELECT level, 'linear' AS family, "
+        + ", ".join(f"count(*) FILTER ({SPLIT} = '{s}' AND sales_qty > -1) AS n_{s}" for s in ("train", "val"))
+        + f", count(*) FILTER ({SPLIT} = 'test') AS n_test FROM feat GROUP BY level HAVING n_train >= 10 AND n_test > 0"
+    )
     rank = " ".join(f"WHEN '{level}' THEN {i}" for i, level in enumerate(MODEL_PREFERENCE))
     o["model_preference"] = _with(*ALL_FEATURES) + (
         f"\nSELECT level FROM (SELECT level, {counts} FROM feat GROUP BY level) WHERE n_train > 0 AND n_test > 0 "

@@ -12,20 +12,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder.functions import calendar
-from larder.models import boosting
+from larder.models import boosting, lines
 from larder.models.arima import arima_forecast, autoregressions
 from larder.models.naive import naive_forecast, with_last_known
-from larder.models.regressors import feature_columns, feature_vector, train_linear
+from larder.models.regressors import feature_columns, feature_vector
 from larder.operators import (
     encoding, explore, features, lists, metrics, replenish, rollup, serving, split, star,
 )
 from larder.operators.serving import Request
 from larder.operators.star import Star
-from larder.plans import forecasting, training
+from larder.plans import forecasting, serving_models, training
 from larder.schemas import FEATURES, KEY_COLUMNS, LAGS, LEVELS, MEASURES
-from larder.session import checkpointed
+from larder.session import checkpointed, shared_folder
 from larder.sources import store
-from larder.sources.driver_tables import star_of
+from larder.sources.driver_tables import fingerprint, star_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -278,40 +278,61 @@ def subgroup_details(s: Star) -> DataFrame:
     return replenish.subgroup_details(_served(s))
 
 
-@query()
-def model_preference(s: Star) -> DataFrame:
-    counts = split.split_counts(features.all_level_features(s))
-    trainable = counts.where("n_train > 0 and n_test > 0").select("level")
-    return store.preferred(trainable)
+# --- saved models ---------------------------------------------------------
 
+def models_of(spark: SparkSession, folder: str) -> str:
+    """The folder with the models of all levels, trained by the first query that needs them.
 
-# --- models ---------------------------------------------------------------
+    It is named after the files they are trained from, so other data have other models.
+    """
+    models = f"{shared_folder(spark)}/larder-models-{fingerprint(spark, folder)}"
+    table = lambda: checkpointed(features.all_level_features(star_of(spark, folder)))
+    return serving_models.ensure_saved(spark, table, models)
 
-def _linear_model(s: Star):
-    keys = LEVELS[SERIES_LEVEL]
-    return train_linear(features.level_features(s, SERIES_LEVEL), keys).model
 
+def served(build: Callable[[Star, str], DataFrame]):
+    """Register a function of a star and the folder of its models as a query."""
+    QUERIES[build.__name__] = lambda spark, folder: rounded(build(star_of(spark, folder), models_of(spark, folder)))
+    return build
 
-@query()
-def one_day_forecast(s: Star) -> DataFrame:
-    keys = LEVELS[SERIES_LEVEL]
-    return forecasting.forecast_series(
-        _linear_model(s), _daily(s), keys, s.cutoff(), s.cutoff()
-    ).drop("h")
 
+def _registry(s: Star, models: str) -> DataFrame:
+    return store.saved_models(s.sales.sparkSession, models)
 
-@query()
-def recursive_forecast(s: Star) -> DataFrame:
-    keys, cutoff = LEVELS[SERIES_LEVEL], s.cutoff()
-    return forecasting.forecast_series(
-        _linear_model(s), _daily(s), keys, cutoff + dt.timedelta(days=7), cutoff
-    ).drop("h")
 
+@served
+def model_registry(s: Star, models: str) -> DataFrame:
+    return _registry(s, models).select("level", "family", "n_train", "n_val", "n_test")
 
-@query()
-def forecast_record(s: Star) -> DataFrame:
+
+@served
+def model_preference(s: Star, models: str) -> DataFrame:
+    return store.preferred(_registry(s, models)).select("level")
+
+
+def _loaded_forecast(s: Star, models: str, days: int) -> DataFrame:
+    """The forecast of every series of the preferred model's level."""
+    level, model = store.load_preferred(s.sales.sparkSession, models)
+    keys, cutoff = LEVELS[level], s.cutoff()
+    daily = rollup.rollup_level(s, level)
+    return forecasting.forecast_series(model, daily, keys, cutoff + dt.timedelta(days=days), cutoff).drop("h")
+
+
+@served
+def one_day_forecast(s: Star, models: str) -> DataFrame:
+    return _loaded_forecast(s, models, 0)
+
+
+@served
+def recursive_forecast(s: Star, models: str) -> DataFrame:
+    return _loaded_forecast(s, models, 7)
+
+
+@served
+def forecast_record(s: Star, models: str) -> DataFrame:
     cutoff = s.cutoff()
-    return forecasting.forecast_record(s, _linear_model(s), SERIES_LEVEL, Request(cutoff), cutoff)
+    level, model = store.load_preferred(s.sales.sparkSession, models)
+    return forecasting.forecast_record(s, model, level, Request(cutoff), cutoff)
 
 
 # --- forecasts of a fixed line, which SQL can follow step by step ----------
@@ -372,7 +393,11 @@ query("feature_importance")(lambda s: boosting.importance(_boosted(s)[0], s.sale
 
 @query()
 def linear_forecast(s: Star) -> DataFrame:
-    return train_linear(features.level_features(s, SERIES_LEVEL), LEVELS[SERIES_LEVEL]).predictions
+    table = checkpointed(features.all_level_features(s))
+    return lines.predicted(lines.fit(table), table)
+
+
+query("training_moments")(lambda s: lines.correlations(checkpointed(features.all_level_features(s))))
 
 
 ALL_KEYS = ("level", *KEY_COLUMNS)

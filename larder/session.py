@@ -20,19 +20,24 @@ def local_session(cpus: int | str = 8, app: str = "larder") -> SparkSession:
     )
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a frame in the shared folder named by spark.checkpoint.dir.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, named by spark.checkpoint.dir.
 
     Only a local master, where one machine is the whole cluster, may fall back
     to a temporary folder.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="larder-checkpoint-")
         context.setCheckpointDir(folder)
+    return folder or context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a frame in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
