@@ -23,11 +23,12 @@ class Star:
 
     Where the date key is computed from a source column, `source_within` gives the
     sales of a date range (first day, day after the last; None is open) filtered on
-    that column, so that the range reaches the files.
+    that column, so that the range reaches the files. The dates may be given as a
+    function, which is asked once, by the first join that needs them.
     """
 
     sales: DataFrame
-    dates: DataFrame
+    dates: DataFrame | Callable[[], DataFrame]
     products: DataFrame
     stores: DataFrame
     broadcast_rows: int = joins.BROADCAST_ROWS
@@ -36,10 +37,17 @@ class Star:
     _hot: dict[str, DataFrame | None] = field(default_factory=dict, repr=False)
     _cutoff: list[dt.date | None] = field(default_factory=list, repr=False)
 
+    def dimension(self, name: str) -> DataFrame:
+        found = getattr(self, name)
+        if not isinstance(found, DataFrame):
+            found = found()
+            setattr(self, name, found)
+        return found
+
     def is_small(self, name: str) -> bool:
         """Whether a dimension may be broadcast; counted once, up to the limit."""
         if name not in self._small:
-            self._small[name] = joins.fits(getattr(self, name), self.broadcast_rows)
+            self._small[name] = joins.fits(self.dimension(name), self.broadcast_rows)
         return self._small[name]
 
     def hot(self, name: str) -> DataFrame | None:
@@ -60,7 +68,7 @@ class Star:
         return joins.lookup(df, dim, _SURROGATE[name], self.is_small(name), hot=hot)
 
     def _with(self, df: DataFrame, name: str, columns, aggregated: bool) -> DataFrame:
-        dim = getattr(self, name).select(_SURROGATE[name], *columns)
+        dim = self.dimension(name).select(_SURROGATE[name], *columns)
         return self.join(df, name, dim, aggregated)
 
     def with_dates(self, df: DataFrame, *columns: str) -> DataFrame:
@@ -74,11 +82,11 @@ class Star:
 
     def groups(self, name: str, columns, ref: str) -> DataFrame:
         """Distinct values of some dimension columns and a stand-in: their least key."""
-        return getattr(self, name).groupBy(*columns).agg(F.min(_SURROGATE[name]).alias(ref))
+        return self.dimension(name).groupBy(*columns).agg(F.min(_SURROGATE[name]).alias(ref))
 
     def stand_ins(self, name: str, refs: dict[str, tuple[str, ...]]) -> DataFrame:
         """Per dimension key the stand-in of each grouping; 0 for an empty one."""
-        df = getattr(self, name)
+        df = self.dimension(name)
         for ref, columns in refs.items():
             if not columns:
                 df = df.withColumn(ref, F.lit(0))
@@ -95,12 +103,17 @@ class Star:
         """Attach the columns that a stand-in stands for.
 
         Groups are often few even where the dimension is large, so they are
-        counted themselves.
+        counted themselves, once for the same columns.
         """
         if not columns:
             return df
         groups = self.groups(name, columns, ref)
-        small = self.is_small(name) or joins.fits(groups, self.broadcast_rows)
+        small = self.is_small(name)
+        if not small:
+            grouping = f"{name} by {', '.join(columns)}"
+            if grouping not in self._small:
+                self._small[grouping] = joins.fits(groups, self.broadcast_rows)
+            small = self._small[grouping]
         return joins.lookup(df, groups, ref, small, how)
 
     def sales_within(self, start: dt.date | None = None, before: dt.date | None = None) -> DataFrame:

@@ -83,7 +83,7 @@ def star_of(spark: SparkSession, folder: str) -> Star:
     return Star(
         sales=sales(spark, folder),
         source_within=lambda start, before: sales(spark, folder, start, before),
-        dates=dates(spark, folder),
+        dates=lambda: dates(spark, folder),
         products=products(spark, folder),
         stores=stores(spark, folder),
     )

@@ -5,8 +5,11 @@ from conftest import day
 from pyspark.sql import functions as F
 
 from larder.functions.ranking import dense_codes
+from larder.catalog import queries as catalog
 from larder.operators import encoding, explore
+from larder.operators.star import Star
 from larder.plans import joins
+from larder.sources import driver_tables
 
 
 @pytest.fixture(scope="module")
@@ -113,3 +116,32 @@ def test_sample_has_the_asked_for_size_and_no_repeats(spark):
     other_order = df.repartition(7).orderBy(F.desc("id"))
     assert ids == [r.id for r in explore.random_sample(other_order, 1_000, seed=3).collect()]
     assert ids != [r.id for r in explore.random_sample(df, 1_000, seed=4).collect()]
+
+
+def test_lists_do_not_ask_for_the_dates(spark, folder, monkeypatch):
+    def asked(*_):
+        raise AssertionError("the sales were read for their dates")
+
+    monkeypatch.setattr(driver_tables, "dates", asked)
+    for name in ("dim_lists", "store_list", "maingroup_list", "subgroup_list"):
+        assert not catalog.QUERIES[name](spark, folder).isEmpty()
+    with pytest.raises(AssertionError):
+        catalog.QUERIES["star_join"](spark, folder)
+
+
+def test_dates_are_asked_for_once_and_groups_counted_once(month_star, monkeypatch):
+    asked, counted = [], []
+
+    def dates():
+        asked.append(1)
+        return month_star.dates
+
+    star = Star(month_star.sales, dates, month_star.products, month_star.stores, broadcast_rows=4)
+    plain = joins.fits
+    monkeypatch.setattr(joins, "fits", lambda df, n: counted.append(df.columns) or plain(df, n))
+    keys = month_star.sales.select("date_key")
+    assert star.with_dates(keys, "full_date").count() == star.with_dates(keys, "full_date").count() == keys.count()
+    groups = star.groups("products", ["maingroup_id"], "ref").select("ref")
+    for _ in range(2):
+        assert star.with_names(groups, "products", "ref", ["maingroup_id"]).count() == 3
+    assert len(asked) == 1 and len(counted) == 3
