@@ -475,6 +475,14 @@ def _oracles() -> dict[str, str]:
     o["one_day_forecast_fixed"] = _rolled_sql(0)
     o["recursive_forecast_fixed"] = _rolled_sql(ROLLOUT_DAYS)
     o["forecast_record_fixed"] = _record_sql()
+    cell = ", ".join(["full_date", CALENDAR, *KEY_COLUMNS])
+    o["daily_cells"] = _with() + (
+        f"\nSELECT date_key, {cell}, {SUMS}, CAST(date_key // 100 AS INT) AS month FROM star GROUP BY date_key, {cell}")
+    o["serving_province_stored"] = o["serving_rollup"].replace("FROM star WHERE", f"FROM star WHERE province_id = {PROVINCE} AND")
+    for name in ("rollup_all_levels", "serving_rollup", "serving_daily", "subgroup_details"):
+        o[f"{name}_stored"] = o[name]
+    o["forecast_record_stored"] = o["forecast_record_fixed"]
+    o["features_refreshed"] = o["features_all_levels"]
     o["training_moments"] = _moments_sql()
     o["model_registry"] = _with(*ALL_FEATURES) + (
         "\nSELECT level, 'linear' AS family, "

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
@@ -21,7 +22,7 @@ from larder.operators import (
 )
 from larder.operators.serving import Request
 from larder.operators.star import Star
-from larder.plans import forecasting, serving_models, training
+from larder.plans import daily_cells, forecasting, monthly_features, serving_models, training
 from larder.schemas import FEATURES, KEY_COLUMNS, LAGS, LEVELS, MEASURES
 from larder.session import checkpointed, shared_folder
 from larder.sources import store
@@ -278,6 +279,48 @@ def subgroup_details(s: Star) -> DataFrame:
     return replenish.subgroup_details(_served(s))
 
 
+# --- stored cells and features --------------------------------------------
+
+def cells_folder(spark: SparkSession, folder: str) -> str:
+    return f"{shared_folder(spark)}/larder-cells-{fingerprint(spark, folder)}"
+
+
+def stored(name: str, exact=()):
+    """Register a function of a star whose daily cells the first such query stores."""
+    def register(build: Callable[[Star], DataFrame]):
+        QUERIES[name] = lambda spark, folder: rounded(
+            build(daily_cells.with_stored_cells(star_of(spark, folder), cells_folder(spark, folder))), exact)
+        return build
+    return register
+
+
+stored("daily_cells")(lambda s: s.cells)
+stored("rollup_all_levels_stored", EXACT)(rollup.rollup_all_levels)
+
+
+def _served_province(s: Star) -> DataFrame:
+    cutoff = s.cutoff()
+    return serving.serving_rollup(s, Request(cutoff, province_id=PROVINCE), cutoff)
+
+
+stored("serving_rollup_stored")(_served)
+stored("serving_province_stored")(_served_province)
+stored("serving_daily_stored")(lambda s: serving.serving_daily(_served(s)))
+stored("subgroup_details_stored")(lambda s: replenish.subgroup_details(_served(s)))
+
+
+@stored("features_refreshed", EXACT)
+def _features_refreshed(s: Star) -> DataFrame:
+    """Features of all months but the last two, then refreshed by these: the whole table."""
+    spark = s.sales.sparkSession
+    first = (s.cutoff().replace(day=1) - dt.timedelta(days=1)).replace(day=1)
+    table = f"{shared_folder(spark)}/larder-monthly-{uuid.uuid4().hex}"
+    earlier = s.served_from(s.cells.where(F.col("full_date") < F.lit(first)))
+    monthly_features.update(earlier, table)
+    monthly_features.update(s, table, first)
+    return monthly_features.stored_features(spark, table)
+
+
 # --- saved models ---------------------------------------------------------
 
 def models_of(spark: SparkSession, folder: str) -> str:
@@ -365,8 +408,7 @@ query("one_day_forecast_fixed")(lambda s: _fixed_forecast(s, 0))
 query("recursive_forecast_fixed")(lambda s: _fixed_forecast(s, ROLLOUT_DAYS))
 
 
-@query()
-def forecast_record_fixed(s: Star) -> DataFrame:
+def _record_fixed(s: Star) -> DataFrame:
     cutoff = s.cutoff()
     record = forecasting.forecast_record(s, fixed_model(), "fixed", Request(cutoff), cutoff)
     return record.withColumns({
@@ -376,6 +418,10 @@ def forecast_record_fixed(s: Star) -> DataFrame:
     }).drop("history", "details")
 
 
+query("forecast_record_fixed")(_record_fixed)
+stored("forecast_record_stored")(_record_fixed)
+
+
 def _boosted(s: Star):
     return boosting.train(checkpointed(features.all_level_features(s)), BOOSTED_GRID)
 

@@ -39,6 +39,10 @@ def _sums() -> list[Column]:
     return [F.sum(m).alias(m) for m in MEASURES]
 
 
+def _double_sums() -> list[Column]:
+    return [F.sum(m).cast("double").alias(m) for m in MEASURES]
+
+
 def _as_double(star: Star, df: DataFrame) -> DataFrame:
     return df.withColumns({
         m: F.col(m).cast("double") / 10 ** s if s else F.col(m).cast("double")
@@ -63,8 +67,8 @@ def _grouped_sales(star: Star, products: dict, stores: dict) -> DataFrame:
 
 # --- one level ------------------------------------------------------------
 
-def level_cells(star: Star, keys) -> DataFrame:
-    """Daily sums by the stand-ins of the product part and the store part of the keys."""
+def level_units(star: Star, keys) -> DataFrame:
+    """Daily sums by the stand-ins of the product part and the store part of the keys, in whole units."""
     groups = {
         PRODUCT_GROUP: [k for k in keys if k in MAIN + SUB],
         STORE_GROUP: [k for k in keys if k in PROVINCE + STORE],
@@ -73,8 +77,21 @@ def level_cells(star: Star, keys) -> DataFrame:
         star, {PRODUCT_GROUP: groups[PRODUCT_GROUP]}, {STORE_GROUP: groups[STORE_GROUP]}
     )
     cells = sales.groupBy("date_key", PRODUCT_GROUP, STORE_GROUP).agg(*_sums())
-    dated = star.with_dates(cells, "full_date", *CALENDAR_COLUMNS)
-    return _as_double(star, dated).drop("date_key")
+    return star.with_dates(cells, "full_date", *CALENDAR_COLUMNS)
+
+
+def level_cells(star: Star, keys) -> DataFrame:
+    """The same with the measures as doubles."""
+    return _as_double(star, level_units(star, keys)).drop("date_key")
+
+
+def exact_cells(star: Star) -> DataFrame:
+    """Daily sums by all key columns, measures as decimals: what every level can be summed from."""
+    cells = with_level_keys(star, level_units(star, KEY_COLUMNS), KEY_COLUMNS)
+    return cells.withColumns({
+        m: (F.col(m).cast("decimal(20,0)") * F.lit(f"{10 ** -s:.{s}f}").cast(f"decimal({s},{s})"))
+        for m, s in _scales(star).items() if s
+    })
 
 
 def with_level_keys(star: Star, cells: DataFrame, keys) -> DataFrame:
@@ -91,6 +108,8 @@ def with_level_keys(star: Star, cells: DataFrame, keys) -> DataFrame:
 def rollup(star: Star, keys) -> DataFrame:
     """One row per day and group; names that are no key column are ignored."""
     keys = [k for k in keys if k in KEY_COLUMNS]
+    if star.cells is not None:
+        return star.cells.groupBy("full_date", *CALENDAR_COLUMNS, *keys).agg(*_double_sums())
     return with_level_keys(star, level_cells(star, keys), keys)
 
 
@@ -144,4 +163,23 @@ def with_all_keys(star: Star, cells: DataFrame) -> DataFrame:
 
 def rollup_all_levels(star: Star) -> DataFrame:
     """The six levels in one long table; keys a level does not use are NULL."""
+    if star.cells is not None:
+        return _from_cells(star.cells)
     return with_all_keys(star, all_level_cells(star))
+
+
+def _from_cells(cells: DataFrame) -> DataFrame:
+    """The six levels as grouping sets over stored cells.
+
+    A key may be missing in the data too, so the grouping's own number tells the levels apart.
+    """
+    day = ["full_date", *CALENDAR_COLUMNS]
+    by = [*day, *KEY_COLUMNS]
+    summed = cells.groupingSets([[*day, *keys] for keys in LEVELS.values()], *by).agg(
+        F.grouping_id().alias("grouping"), *_double_sums()
+    )
+    level = F.lit(None).cast("string")
+    for name, keys in LEVELS.items():
+        unused = [i for i, c in enumerate(reversed(by)) if c not in (*day, *keys)]
+        level = F.when(F.col("grouping") == sum(1 << i for i in unused), name).otherwise(level)
+    return summed.select(level.alias("level"), *by, *MEASURES)

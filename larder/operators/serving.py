@@ -60,8 +60,19 @@ def requested_sales(star: Star, request: Request, cutoff: dt.date) -> DataFrame:
     return joined.where(request_filter(request))
 
 
+def cells_before(cells: DataFrame, before: dt.date) -> DataFrame:
+    """Stored cells strictly before a day; later months are not listed at all."""
+    return cells.where(
+        (F.col("month") <= before.year * 100 + before.month) & (F.col("full_date") < F.lit(before))
+    )
+
+
 def serving_rollup(star: Star, request: Request, cutoff: dt.date) -> DataFrame:
-    """Daily sums per subgroup, over all matching sales."""
+    """Daily sums per subgroup, over all matching sales or their stored cells."""
+    if star.cells is not None:
+        days = ("full_date", *CALENDAR_COLUMNS)
+        found = cells_before(star.cells, request.before(cutoff)).where(request_filter(request))
+        return found.groupBy(*days, *_GROUP).agg(*[F.sum(m).cast("double").alias(m) for m in _SUMS])
     cells = requested_sales(star, request, cutoff).groupBy("date_key", *_GROUP).agg(
         *[F.sum(m).cast("double").alias(m) for m in _SUMS]
     )

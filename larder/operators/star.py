@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -24,7 +24,8 @@ class Star:
     Where the date key is computed from a source column, `source_within` gives the
     sales of a date range (first day, day after the last; None is open) filtered on
     that column, so that the range reaches the files. The dates may be given as a
-    function, which is asked once, by the first join that needs them.
+    function, which is asked once, by the first join that needs them. With stored
+    daily cells, roll-ups and requests are answered from these instead of the sales.
     """
 
     sales: DataFrame
@@ -33,6 +34,7 @@ class Star:
     stores: DataFrame
     broadcast_rows: int = joins.BROADCAST_ROWS
     source_within: Callable[[dt.date | None, dt.date | None], DataFrame] | None = None
+    cells: DataFrame | None = None
     _small: dict[str, bool] = field(default_factory=dict, repr=False)
     _hot: dict[str, DataFrame | None] = field(default_factory=dict, repr=False)
     _cutoff: list[dt.date | None] = field(default_factory=list, repr=False)
@@ -126,8 +128,20 @@ class Star:
             sales = sales.where(key < int(before.strftime("%Y%m%d")))
         return sales
 
+    def between(self, start: dt.date | None = None, before: dt.date | None = None) -> Star:
+        """The star of the sales from a first day on, strictly before another one, without cells."""
+        return replace(
+            self, sales=self.sales_within(start, before), source_within=None, cells=None, _hot={}, _cutoff=[]
+        )
+
+    def served_from(self, cells: DataFrame) -> Star:
+        """The same star with stored daily cells."""
+        return replace(self, cells=cells, _cutoff=[])
+
     def cutoff(self) -> dt.date | None:
         """The last day with a sale; looked up once."""
+        if not self._cutoff and self.cells is not None:
+            self._cutoff.append(self.cells.agg(F.max("full_date")).first()[0])
         if not self._cutoff:
             last = self.sales.agg(F.max("date_key").alias("date_key"))
             self._cutoff.append(self.with_dates(last, "full_date").agg(F.max("full_date")).first()[0])

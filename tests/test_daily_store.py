@@ -1,0 +1,137 @@
+"""Stored cells and features equal those made from the sales, before and after a refresh."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from conftest import PRODUCTS, STORES, day, rows, sale
+
+from larder.operators import features, rollup, serving
+from larder.operators.serving import Request
+from larder.plans import daily_cells, monthly_features
+from larder.schemas import KEY_COLUMNS, LAGS, LEVELS, MEASURES
+
+APRIL = dt.date(2026, 4, 1)
+DAYS = range(1, 56)  # to the 24th of April
+
+
+def sales_of(days):
+    found = []
+    for n in days:
+        for p in PRODUCTS:
+            for s in STORES:
+                if (n + p[0] + s[0]) % 11 == 0:
+                    continue
+                if p[0] == 7 and n % 6:  # fewer than seven rows a month
+                    continue
+                if p[0] == 8 and not 20 < n < 30:  # ends in March
+                    continue
+                if p[0] == 5 and s[0] == 3 and n < 31:  # begins on the last day of March
+                    continue
+                found.append(sale(day(n), p[0], s[0], (n * 7 + p[0] * 3 + s[0] * 5) % 23 + 0.125, str(n % 5 - 1)))
+    return found
+
+
+@pytest.fixture(scope="module")
+def two_months(make_star):
+    return make_star(sales_of(DAYS))
+
+
+@pytest.fixture(scope="module")
+def served(two_months, tmp_path_factory):
+    return daily_cells.with_stored_cells(two_months, str(tmp_path_factory.mktemp("cells") / "c"))
+
+
+def same(a, b, *columns):
+    key = lambda r: tuple((v is None, str(v)) for v in r)
+    columns = columns or sorted(b.columns)
+    return sorted(map(tuple, a.select(*columns).collect()), key=key) == sorted(
+        map(tuple, b.select(*columns).collect()), key=key)
+
+
+def test_requests_from_cells_equal_those_from_sales(two_months, served):
+    cutoff = two_months.cutoff()
+    assert served.cutoff() == cutoff == dt.date(2026, 4, 24)
+    for request in (
+        Request(cutoff), Request(dt.date(2026, 5, 3)), Request(APRIL, province_id=100), Request(day(20), store_id="D"),
+        Request(cutoff, maingroup_id=1, subgroup_id=20), Request(cutoff, maingroup_id=3), Request(cutoff, store_id="none"),
+    ):
+        assert same(
+            serving.serving_rollup(served, request, cutoff), serving.serving_rollup(two_months, request, cutoff))
+
+
+def test_levels_from_cells_equal_those_from_sales(two_months, served):
+    assert same(rollup.rollup_all_levels(served), rollup.rollup_all_levels(two_months))
+    for level in LEVELS:
+        assert same(rollup.rollup_level(served, level), rollup.rollup_level(two_months, level))
+
+
+def test_a_request_reads_the_months_it_is_about(served):
+    rolled = serving.serving_rollup(served, Request(day(20), province_id=100), dt.date(2026, 4, 24))
+    plan = rolled._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "Scan" in line]
+    assert scans and all("FileScan parquet" in line for line in scans)
+    assert "PartitionFilters: [isnotnull(month" in plan and "202603" in plan
+
+
+def test_no_scan_of_sales_once_the_cells_exist(spark, folder, tmp_path):
+    from larder.sources.driver_tables import star_of
+
+    star = daily_cells.with_stored_cells(star_of(spark, folder), str(tmp_path / "c"))
+    cutoff = star.cutoff()
+    files = serving.serving_rollup(star, Request(cutoff), cutoff).inputFiles()
+    assert files and all("/months/" in f for f in files)
+
+
+def test_a_refresh_rewrites_one_month_and_equals_a_rebuild(spark, make_star, two_months, tmp_path):
+    cells, table = str(tmp_path / "c"), str(tmp_path / "f")
+    start = make_star(sales_of(range(1, 54)))
+    monthly_features.update(daily_cells.with_stored_cells(start, cells), table)
+    march = {f: f.stat().st_mtime_ns for f in tmp_path.rglob("month=202603/*.parquet")}
+    assert march
+
+    daily_cells.refresh(two_months, cells, day(54))
+    star = two_months.served_from(daily_cells.stored_cells(spark, cells))
+    assert same(star.cells, daily_cells.cells_of(two_months))
+    for _ in range(2):  # a refresh may be run again
+        monthly_features.update(star, table, day(54))
+        assert same(monthly_features.stored_features(spark, table), features.all_level_features(two_months))
+    assert march == {f: f.stat().st_mtime_ns for f in tmp_path.rglob("month=202603/*.parquet")}
+
+
+def test_features_without_cells_and_months_without_sales(spark, make_star, tmp_path):
+    days = [*range(1, 25), *range(40, 56)]
+    star, table = make_star(sales_of(days)), str(tmp_path / "f")
+    monthly_features.update(make_star(sales_of(range(1, 25))), table)
+    monthly_features.update(star, table, APRIL)
+    assert same(monthly_features.stored_features(spark, table), features.all_level_features(star))
+
+
+def test_tails_hold_the_last_seven_rows(spark, two_months, tmp_path):
+    monthly_features.update(two_months, str(tmp_path / "f"))
+    daily = [r for r in rollup.rollup_all_levels(two_months).collect()]
+    want = []
+    for month, end in ((202603, day(31)), (202604, dt.date(2026, 4, 30))):
+        series = {}
+        for r in daily:
+            keys = tuple(r[k] for k in KEY_COLUMNS)
+            if all(r[k] is not None for k in LEVELS[r.level]) and r.full_date <= end:
+                series.setdefault((r.level, keys), []).append((r.full_date, r.sales_qty))
+        for (level, keys), found in series.items():
+            want += [(month, level, str(keys), *x) for x in sorted(found)[-7:]]
+    got = [
+        (r.month, r.level, str(tuple(r[k] for k in KEY_COLUMNS)), r.full_date, r.sales_qty)
+        for r in spark.read.parquet(str(tmp_path / "f/tails")).collect()
+    ]
+    assert sorted(got) == sorted(want)
+
+
+def test_empty_sales(make_star, tmp_path):
+    star = daily_cells.with_stored_cells(make_star([]), str(tmp_path / "c"))
+    assert star.cutoff() is None
+    assert rows(rollup.rollup_all_levels(star)) == []
+    assert rows(serving.serving_rollup(star, Request(day(3)), day(2))) == []
+    monthly_features.update(star, str(tmp_path / "f"))
+    assert not (tmp_path / "f").exists()
+    assert {*LAGS, *MEASURES} <= set(features.all_level_features(make_star([])).columns)
