@@ -9,6 +9,14 @@ between the query's distance and that range. A child is skipped where the gap ex
 is exact, smaller ones skip more. Children nearer to the query come first. Searching
 runs on all queries of a block at once.
 
+How much a factor loses depends on the vectors, so unless one is given it is fitted to
+the table: some queries (parameter `trial`) search one shard by each factor, and the
+least one is taken whose recall against factor one, less two standard errors, reaches
+the parameter `recall`. One shard's share of the neighbours is harder to find than
+the whole table's, to which every shard adds its own best. The trial holds
+a shard and a bounded number of queries, whatever the table's size; only sums a
+factor reach the driver. All vectors are indexed and searched in any case.
+
 Every shard gives each query its best; a ranking per query merges them. Candidates
 are every vector but the query's own; distances are computed in double precision
 from the original vectors, and ties go to the smaller id.
@@ -34,7 +42,9 @@ from larder.llm.common import stored
 
 NEIGHBOURS = 10
 QUERY_EVERY = 100
-FACTOR = 0.25
+FACTORS = (0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.5, 0.6, 0.7, 0.85)
+RECALL = 0.95
+TRIAL = 200
 SHARD = 8_192
 BLOCK = 4_096
 LEAF = 256
@@ -153,6 +163,51 @@ def _searcher(k: int, factor: float):
     return run
 
 
+def _trial(k: int, factors: tuple[float, ...]):
+    """Per factor the number of queries, and the sum and squares of their recall against factor one."""
+    def run(keys: tuple, vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        if len(vectors) and len(queries):
+            vectors = vectors.sort_values("id", kind="stable")
+            tree = Tree(np.vstack(vectors["v"].to_numpy()).astype(np.float64), vectors["id"].to_numpy(np.int64))
+            asked, own = np.vstack(queries["v"].to_numpy()).astype(np.float64), queries["id"].to_numpy(np.int64)
+            exact, _ = tree.search(asked, own, k, 1.0)
+            wanted = np.isfinite(exact).sum(axis=1)
+            some = wanted > 0
+            last = exact[np.arange(len(exact)), np.maximum(wanted, 1) - 1]
+            for factor in factors:
+                d, _ = tree.search(asked, own, k, factor)
+                found = (np.isfinite(d) & (d <= last[:, None])).sum(axis=1)[some] / wanted[some]
+                rows.append((factor, int(some.sum()), float(found.sum()), float(np.square(found).sum())))
+        return pd.DataFrame(rows, columns=["factor", "n", "total", "squares"])
+
+    return run
+
+
+def fitted_factor(
+    points: DataFrame, asked: DataFrame, n_asked: int, k: int = NEIGHBOURS, recall: float = RECALL, trial: int = TRIAL,
+    factors: tuple[float, ...] = FACTORS,
+) -> float:
+    """The least factor that reaches the recall on one shard's points; one if none does.
+
+    Points and queries have the columns id, v, dim; vectors of other lengths count together.
+    """
+    cells = 1 << 30
+    drawn = F.pmod(F.xxhash64("id", F.lit(2)), F.lit(cells)) < int(min(1.0, trial / max(1, n_asked)) * cells)
+    sums = (
+        points.select("dim", "id", "v").groupBy("dim").cogroup(asked.where(drawn).select("dim", "id", "v").groupBy("dim"))
+        .applyInPandas(_trial(k, factors), "factor double, n long, total double, squares double")
+        .groupBy("factor").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("squares").alias("squares"))
+        .where("n > 1").collect()
+    )
+    for r in sorted(sums, key=lambda r: r.factor):
+        mean = r.total / r.n
+        spread = max(0.0, r.squares / r.n - mean * mean) / (r.n - 1)
+        if mean - 2 * spread ** 0.5 >= recall:
+            return r.factor
+    return 1.0
+
+
 def usable(df: DataFrame, id_column: str, vector_column: str) -> DataFrame:
     """Ids and vectors as doubles (columns id, v) of the rows that take part."""
     v = F.col(vector_column).cast("array<double>")
@@ -164,8 +219,9 @@ def usable(df: DataFrame, id_column: str, vector_column: str) -> DataFrame:
 
 
 def nearest(
-    vectors: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, factor: float = FACTOR,
+    vectors: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, factor: float | None = None,
     id_column: str = "vec_id", vector_column: str = "embedding", shard: int = SHARD, block: int = BLOCK,
+    recall: float = RECALL, trial: int = TRIAL,
 ) -> DataFrame:
     """The k nearest found vectors of each query: query_id, rank, vec_id, score.
 
@@ -177,9 +233,12 @@ def nearest(
         usable(queries, id_column, vector_column).groupBy("id").agg(F.min("v").alias("v"))
         .withColumn("dim", F.size("v")))
     shards = max(1, ceil(points.count() / shard))
-    groups = max(1, ceil(asked.count() / block))
+    n_asked = asked.count()
+    groups = max(1, ceil(n_asked / block))
     shard_of = F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")
     block_of = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(groups)).cast("int")
+    if factor is None:
+        factor = fitted_factor(points.where(shard_of == 0), asked, n_asked, k, recall, trial)
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = points.select("id", "v", "dim", shard_of.alias("shard"), every(groups).alias("part"))
     right = asked.select("id", "v", "dim", block_of.alias("part"), every(shards).alias("shard"))

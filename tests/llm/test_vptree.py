@@ -40,6 +40,42 @@ def test_factor_one_is_exact_with_ties(spark, vectors):
         assert np.allclose([d for d, _ in got[q]], [d for d, _ in want[q]], rtol=0, atol=1e-15)
 
 
+def recall_of(got, want):
+    return np.mean([len({i for _, i in got[q]} & {i for _, i in want[q]}) / len(want[q]) for q in want])
+
+
+@pytest.mark.parametrize("kind", ["gaussian", "clustered"])
+def test_fitted_factor_reaches_the_recall_on_other_vectors(spark, kind):
+    rng = np.random.default_rng(4)
+    if kind == "gaussian":
+        points = rng.normal(size=(6000, 8))
+    else:
+        points = 3 * rng.normal(size=(60, 32))[rng.integers(0, 60, 6000)] + rng.normal(size=(6000, 32))
+    rows = list(enumerate(points))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
+    got = answers(vptree.nearest(df, df.where("vec_id % 20 = 0"), shard=3000, block=200))
+    assert recall_of(got, brute(rows, rows[::20])) >= 0.95
+
+
+def test_the_factor_depends_on_the_vectors(spark):
+    rng = np.random.default_rng(5)
+    line = np.outer(rng.normal(size=4000), rng.normal(size=6))  # neighbours along one direction
+    ball = rng.normal(size=(4000, 12))
+    fitted = []
+    for points in (line, ball):
+        df = spark.createDataFrame([(i, v.tolist(), len(v)) for i, v in enumerate(points)], "id long, v array<double>, dim int")
+        fitted.append(vptree.fitted_factor(df, df.where("id % 40 = 0"), 100))
+    assert 0 < fitted[0] <= 1 and fitted[1] < 1
+    assert vptree.fitted_factor(df.limit(0), df.limit(0), 0) == 1.0
+    assert vptree.fitted_factor(df, df.where("id % 40 = 0"), 100, recall=1.01) == 1.0
+    # The same by hand: recall of one shard against brute force.
+    tree = vptree.Tree(ball, np.arange(4000))
+    d, ids = tree.search(ball[::40], np.arange(0, 4000, 40), 10, fitted[1])
+    want = brute(list(enumerate(ball)), list(enumerate(ball))[::40])
+    got = {40 * q: list(zip(d[q], ids[q])) for q in range(100)}
+    assert recall_of(got, want) >= 0.95
+
+
 def test_default_factor_reaches_the_recall(spark, folder):
     df = spark.read.parquet(f"{folder.replace('0.001', '0.1')}/embeddings.parquet")
     rows = [(r.vec_id, np.array(r.embedding, np.float64)) for r in df.collect()]
