@@ -132,7 +132,7 @@ query("subgroup_list_of_maingroup")(lambda s: lists.subgroups(s, MAINGROUP))
 # --- exploration ----------------------------------------------------------
 
 def _quantities(s: Star) -> DataFrame:
-    return explore.value_counts(star.quantity_range(s.sales))
+    return checkpointed(explore.value_counts(star.quantity_range(s.sales)))
 
 
 @query()
@@ -461,5 +461,28 @@ def predictions(s: Star) -> DataFrame:
     )
 
 
+# Fewer rounds than the patience, so that a run over all families ends soon on one machine.
+SHORT_BOOSTED_GRID = ({"rounds": 12, "depth": 2, "step": 0.5},)
+
+
+def predictions_folder(spark: SparkSession, folder: str) -> str:
+    """The stored predictions of all families and levels; the first query that needs them trains what is missing."""
+    path = f"{shared_folder(spark)}/larder-predictions-{fingerprint(spark, folder)}"
+    table = lambda: checkpointed(features.all_level_features(star_of(spark, folder)))
+    training.resume(table, path, spark, gbt_grid=SHORT_BOOSTED_GRID)
+    return f"{path}/predictions"
+
+
+def _stored_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    return store.read_predictions(spark, predictions_folder(spark, folder))
+
+
+QUERIES["predictions_stored"] = lambda spark, folder: rounded(_stored_predictions(spark, folder).select(
+    "level", "model", *KEY_COLUMNS, "full_date", "actual", "predicted"))
+QUERIES["metrics_stored"] = lambda spark, folder: rounded(metrics.evaluate(_stored_predictions(spark, folder)))
+QUERIES["best_model_stored"] = lambda spark, folder: rounded(
+    metrics.best_model(metrics.evaluate(_stored_predictions(spark, folder))))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

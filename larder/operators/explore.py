@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.numeric import log1p, nan_to_null, present
+from larder.operators import quantiles
 from larder.operators.star import Star
 from larder.schemas import LAGS
 
@@ -47,8 +48,11 @@ def value_counts(df: DataFrame, column: str = "sales_qty") -> DataFrame:
     """Each value once with its frequency, on the raw and on the log scale.
 
     A decimal quantity between 0 and 1000 has at most a million values, so what
-    follows works on a bounded table, whatever the number of sales.
+    follows works on a bounded table, whatever the number of sales; a double column may
+    have as many values as rows, and nothing that follows holds them in one task. Store
+    the table where more than one result is made from it. NaN counts as missing.
     """
+    df = df.withColumn(column, nan_to_null(F.col(column))) if dict(df.dtypes)[column] in ("double", "float") else df
     counted = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
     x = F.col(column).cast("double")
     return counted.select(
@@ -59,29 +63,36 @@ def value_counts(df: DataFrame, column: str = "sales_qty") -> DataFrame:
     ).select("v.scale", "v.x", "n")
 
 
-def summary(counts: DataFrame) -> DataFrame:
-    """Rows, mean, exact median, deviation and range of each scale, by frequency."""
+def spread(counts: DataFrame) -> DataFrame:
+    """Rows, mean, deviation and range of each scale, by frequency."""
     x, n = F.col("x"), F.col("n")
     rows = F.sum(n)
     mean = F.try_divide(F.sum(x * n), rows)
-    spread = F.sum(x * x * n) - F.try_divide(F.sum(x * n) * F.sum(x * n), rows)
+    squares = F.sum(x * x * n) - F.try_divide(F.sum(x * n) * F.sum(x * n), rows)
     return counts.groupBy("scale").agg(
         rows.alias("n_rows"),
         mean.alias("mean"),
-        F.percentile(x, 0.5, n).alias("median"),
-        F.sqrt(F.greatest(F.try_divide(spread, rows - 1), F.lit(0.0))).alias("std"),
+        F.sqrt(F.greatest(F.try_divide(squares, rows - 1), F.lit(0.0))).alias("std"),
         F.min(x).alias("low"),
         F.max(x).alias("high"),
     )
 
 
+def summary(counts: DataFrame) -> DataFrame:
+    """The same with the exact median, found by narrowing ranges (two values reach the driver)."""
+    median = F.lit(None).cast("double")
+    for (scale, _), value in quantiles.quantiles(counts).items():
+        median = F.when(F.col("scale") == scale, F.lit(value)).otherwise(median)
+    return spread(counts).select("scale", "n_rows", "mean", median.alias("median"), "std", "low", "high")
+
+
 def histogram(counts: DataFrame, bins: int = BINS) -> DataFrame:
     """Equal-width density histogram of each scale; the last bin is closed.
 
     A constant column gets a range of width one around its value.
     """
     flat = F.when(F.col("high") == F.col("low"), F.lit(0.5)).otherwise(F.lit(0.0))
-    ranges = summary(counts).select(
+    ranges = spread(counts).select(
         "scale", "n_rows", (F.col("low") - flat).alias("low"), (F.col("high") + flat).alias("high")
     )
     width = (F.col("high") - F.col("low")) / bins
@@ -109,19 +120,19 @@ def density(counts: DataFrame, points: int = GRID) -> DataFrame:
     scale. The grid has a fixed length and the sums combine on the map side, so
     one exchange of a grid per task is all that moves.
     """
-    ranges = summary(counts).select(
+    ranges = spread(counts).select(
         "scale", "n_rows", "low", "high",
         (F.col("std") * F.pow(F.col("n_rows").cast("double"), F.lit(-0.2))).alias("h"),
     )
     tasks = counts.sparkSession.sparkContext.defaultParallelism
-    spread = counts.repartition(tasks, "x").join(F.broadcast(ranges), "scale").select(
+    placed = counts.repartition(tasks, "x").join(F.broadcast(ranges), "scale").select(
         "*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
     )
     grid = F.col("low") + (F.col("high") - F.col("low")) * F.col("point") / (points - 1)
     z = F.try_divide(grid - F.col("x"), F.col("h"))
     kernel = F.col("n") * F.exp(-z * z / 2)
     scale = F.col("n_rows") * F.col("h") * F.lit(math.sqrt(2 * math.pi))
-    return spread.groupBy("scale", "point").agg(
+    return placed.groupBy("scale", "point").agg(
         F.first(grid).alias("x"),
         F.try_divide(F.sum(kernel), F.first(scale)).alias("density"),
     )

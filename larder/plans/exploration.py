@@ -8,17 +8,19 @@ from pyspark.sql import DataFrame
 
 from larder.operators import explore
 from larder.operators.star import Star, quantity_range
+from larder.session import checkpointed
 
 
 def distribution(star: Star, sample: int | None = None) -> dict[str, DataFrame]:
     """Summary, histogram and density of the quantities, raw and on the log scale.
 
-    All sales are used unless a sample size is given.
+    All sales are used unless a sample size is given. They are read once, for the
+    table of frequencies.
     """
     sold = quantity_range(star.sales).select("sales_qty")
     if sample is not None:
         sold = explore.random_sample(sold, sample)
-    counts = explore.value_counts(sold)
+    counts = checkpointed(explore.value_counts(sold))
     return {
         "summary": explore.summary(counts),
         "histogram": explore.histogram(counts),
