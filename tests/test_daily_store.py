@@ -108,6 +108,14 @@ def test_features_without_cells_and_months_without_sales(spark, make_star, tmp_p
     assert same(monthly_features.stored_features(spark, table), features.all_level_features(star))
 
 
+def test_a_refresh_before_the_kept_tails_is_a_full_build(spark, make_star, two_months, tmp_path):
+    table = str(tmp_path / "f")
+    monthly_features.update(make_star(sales_of(range(1, 54))), table, tail_months=1)
+    assert {r.month for r in spark.read.parquet(f"{table}/tails").select("month").distinct().collect()} == {202604}
+    monthly_features.update(two_months, table, APRIL, tail_months=1)
+    assert same(monthly_features.stored_features(spark, table), features.all_level_features(two_months))
+
+
 def test_tails_hold_the_last_seven_rows(spark, two_months, tmp_path):
     monthly_features.update(two_months, str(tmp_path / "f"))
     daily = [r for r in rollup.rollup_all_levels(two_months).collect()]
