@@ -57,3 +57,18 @@ def test_stored_tables_are_read_by_column(spark):
     kept = checkpointed(spark.createDataFrame([(1, "a"), (2, None)], "a int, b string"))
     assert rows(kept) == [(1, "a"), (2, None)]
     assert "ReadSchema: struct<a:int>" in plan(kept.select("a"))
+
+
+def test_cells_are_written_where_they_are_made(spark, month_star, tmp_path):
+    from larder.plans import daily_cells
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = plan(daily_cells.cells_of(month_star))
+        assert len(re.findall(r"Exchange hashpartitioning\(_month", found)) <= 1
+        assert not re.findall(r"Exchange hashpartitioning\((date_key|month#)", found)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    kept = daily_cells.with_stored_cells(month_star, str(tmp_path / "cells")).cells
+    assert rows(kept, *daily_cells.cells_of(month_star).columns[:1]) == rows(
+        daily_cells.cells_of(month_star), "full_date")
