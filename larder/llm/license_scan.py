@@ -35,6 +35,7 @@ from __future__ import annotations
 import json
 import re
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -128,11 +129,17 @@ def voting_runs(passage: str, run: int = RUN) -> list[tuple[int, list[str]]]:
 
 
 def template_runs(spark: SparkSession, templates=TEMPLATES, run: int = RUN) -> DataFrame:
-    """Every voting run of every template: hash, template, at. Templates shorter than a run have none."""
-    rows = [(i, at, words) for i, (_, passage) in enumerate(templates) for at, words in voting_runs(passage, run)]
+    """Every voting run of every template: hash, template, at. Templates shorter than a run have none.
+
+    An Arrow table becomes a local relation, so executors start no Python for it.
+    """
+    rows = [
+        {"template": i, "at": at, "words": words}
+        for i, (_, passage) in enumerate(templates) for at, words in voting_runs(passage, run)]
     if len(rows) > MOST_TEMPLATE_RUNS:
         raise ValueError(f"templates of more than {MOST_TEMPLATE_RUNS} runs are not to be broadcast")
-    frame = spark.createDataFrame(rows, "template int, at int, words array<string>")
+    kinds = pa.schema([("template", pa.int32()), ("at", pa.int32()), ("words", pa.list_(pa.string()))])
+    frame = spark.createDataFrame(pa.Table.from_pylist(rows, schema=kinds))
     return frame.select(_hash(F.col("words"), F.lit(0), run).alias("hash"), "template", "at")
 
 
@@ -234,7 +241,7 @@ def candidates(
     The words are looked through for anchors first, which is far cheaper than hashing runs.
     """
     words = F.col("words")
-    known = _lookup([r["hash"] for r in runs.select("hash").distinct().collect()])
+    known = _lookup([r["hash"] for r in runs.select("hash").collect()])
 
     def is_known(h: Column) -> Column:
         return F.array_contains(F.get(known, F.pmod(h, F.lit(LITERAL_CELLS)).cast("int")), h)

@@ -89,3 +89,12 @@ def test_main_path_has_no_python(spark):
     docs = spark.createDataFrame([(1, MIT)], "doc_id long, text string")
     plan = m.scan(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_templates_start_no_python_worker_in_an_executor(spark):
+    for templates in (m.TEMPLATES, ()):
+        runs = m.template_runs(spark, templates)
+        assert "LocalTableScan" in runs._jdf.queryExecution().executedPlan().toString()
+        assert runs.count() == sum(len(m.voting_runs(p)) for _, p in templates)
+    plan = m.scan(spark.createDataFrame([(1, MIT)], "doc_id long, text string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" not in plan
