@@ -31,14 +31,16 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/larder-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, group_rows: int | None = None) -> DataFrame:
     """Write a frame as Parquet in the shared folder and read it again.
 
     It cuts the lineage like a checkpoint, and later reads take only the
-    columns that they need.
+    columns that they need. The writer looks at the size of a row group only after 100 rows, and holds it
+    until then; of rows that are large themselves, a group gets so many.
     """
     folder = shared_folder(df.sparkSession)
-    df.write.parquet(folder)
+    options = {} if group_rows is None else {"parquet.block.row.count.limit": group_rows}
+    df.write.options(**options).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

@@ -121,7 +121,8 @@ def local_shards(
             for part in _parts(batch, shard_bytes):
                 yield pa.RecordBatch.from_pydict({c: _shard_column(v) for c, v in _shard(part).items()})
 
-    return stored(rows.mapInArrow(run, schema).withColumn("shard", F.monotonically_increasing_id()))
+    # A shard is megabytes: in a row group of its own, a task that writes or reads holds one, whatever its part of the input.
+    return stored(rows.mapInArrow(run, schema).withColumn("shard", F.monotonically_increasing_id()), group_rows=1)
 
 
 def _shard_column(values: pa.Array) -> pa.Array:

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 from itertools import permutations
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from larder.llm import filter_audit as m
@@ -93,6 +94,15 @@ def test_shards_share_one_dictionary(spark, monkeypatch):
     assert counts == {i: dict(Counter(t.split())) for i, t in enumerate(texts)}
 
 
+def test_a_task_writes_and_reads_one_shard_at_a_time(spark):
+    docs = [(i, words(20, 20 * i), "en") for i in range(60)]
+    shards = m.local_shards(frames(spark, docs, [])[0].coalesce(1), shard_bytes=200)
+    (file,) = shards.inputFiles()
+    found = pq.ParquetFile(file.removeprefix("file:")).metadata
+    assert found.num_rows > 20
+    assert {found.row_group(i).num_rows for i in range(found.num_row_groups)} == {1}
+
+
 def test_copies_met_by_broadcast_or_shuffle_are_the_same(spark, monkeypatch):
     docs = [(i, "copy" if i % 3 == 0 else f"text {i // 2}", "en") for i in range(60)]
     expected = brute(docs, [])
