@@ -135,6 +135,16 @@ def test_tails_hold_the_last_seven_rows(spark, two_months, tmp_path):
     assert sorted(got) == sorted(want)
 
 
+def test_tails_are_narrow_and_written_where_a_series_is(spark, two_months, tmp_path, monkeypatch):
+    dealt = []
+    monkeypatch.setattr(monthly_features, "_write", lambda df, path, by, replaced: dealt.append((path, df)))
+    monthly_features.update(two_months, str(tmp_path / "f"))
+    ((_, tails),) = [d for d in dealt if d[0].endswith("/tails")]
+    assert set(tails.columns) == {"month", "level", *KEY_COLUMNS, "full_date", "sales_qty"}
+    plan = tails._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" in plan and "Repartition" not in plan[:plan.index("Generate")]
+
+
 def test_empty_sales(make_star, tmp_path):
     star = daily_cells.with_stored_cells(make_star([]), str(tmp_path / "c"))
     assert star.cutoff() is None
